@@ -55,23 +55,31 @@ ARTICLE_BODY = Selector("div", "itemprop", "articleBody")
 def article_native(html: Column, selector: Selector = ARTICLE) -> Column:
     """Outer HTML by regular expression; null where there is none. Exact if containers do not nest."""
     pattern = rf"(?is){selector.open_pattern()}.*?</{selector.tag}\s*>"
-    found = F.regexp_extract(html, pattern, 0)
-    return F.when(found != "", strip(found))
+    return bind(strip(F.regexp_extract(html, pattern, 0)), lambda found: F.when(found != "", found))
 
 
-def _regex_is_exact(html: Column, selector: Selector) -> Column:
-    """True where one open and one close tag of that name exist, neither in a comment nor a script."""
-    opens, closes = F.lit(rf"(?i)<{selector.tag}\b"), F.lit(rf"(?i)</{selector.tag}\s*>")
-    once = (F.regexp_count(html, opens) == 1) & (F.regexp_count(html, closes) == 1)
-    bare = F.regexp_replace(html, HIDDEN, " ")
-    return once & (F.regexp_count(bare, opens) == 1) & (F.regexp_count(bare, closes) == 1)
+def needs_parser(html: Column, selector: Selector = ARTICLE) -> Column:
+    """Whether a regular expression might find another element than a parser would.
+
+    It cannot if the page has no such tag, or exactly one open and one close tag of that name, neither
+    in a comment nor a script.
+    """
+    marks = F.lit(rf"(?i)</?{selector.tag}\b")
+    pair = rf"(?is)^.*?<{selector.tag}\b.*?</{selector.tag}\s*>"
+
+    def unsafe(total: Column) -> Column:
+        bare = F.regexp_replace(html, HIDDEN, " ")
+        hidden = bind(bare, lambda b: (F.regexp_count(b, marks) != 2) | ~b.rlike(pair))
+        return F.when(total == 0, F.lit(False)).when(total == 2, hidden).otherwise(F.lit(True))
+
+    return bind(F.regexp_count(html, marks), unsafe)
 
 
-def article_html(html: Column, selector: Selector = ARTICLE) -> Column:
+def article_html(html: Column, parser: Column, selector: Selector = ARTICLE) -> Column:
     """Outer HTML of the first match; null if there is none. Exact for nested containers too.
 
-    The parser's input column is null for every page the expression can answer, so only pages with
-    nested, repeated or hidden containers are sent to Python.
+    ``parser`` is ``needs_parser`` of the page. The parser's input is null for every page that does not
+    need it, so only pages with nested, repeated or hidden containers are sent to Python.
     """
     tag, attr, value = selector.tag.lower(), selector.attr, selector.value
 
@@ -80,10 +88,7 @@ def article_html(html: Column, selector: Selector = ARTICLE) -> Column:
         found = (outer_container(p, tag, attr, value) if p else None for p in pages.to_pylist())
         return pa.array(found, pa.string())
 
-    has_tag = F.lower(html).contains(f"<{tag}")
-    exact = _regex_is_exact(html, selector)
-    parsed = parse(F.when(has_tag & ~exact, html))
-    return F.when(has_tag & exact, article_native(html, selector)).otherwise(parsed)
+    return F.when(parser, parse(F.when(parser, html))).otherwise(article_native(html, selector))
 
 
 def _code_point(number: Column) -> Column:
@@ -116,7 +121,7 @@ def decode_entities(text: Column) -> Column:
         tail = F.transform(F.slice(parts, F.lit(2), F.array_size(parts)), piece)
         return F.concat(F.get(parts, F.lit(0)), F.array_join(tail, ""))
 
-    return F.when(text.contains("&"), bind(F.split(text, "&"), join)).otherwise(text)
+    return bind(text, lambda t: F.when(t.contains("&"), bind(F.split(t, "&"), join)).otherwise(t))
 
 
 def clean_text(html: Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from passagework.functions import html as H
 from passagework.functions.splitting import SEPARATORS, split_spans
 from passagework.functions.text import strip, token_count
+from passagework.operators.rows import compute_once, explode_present
 
 CHUNKS_TYPE = "array<struct<content:string,n_tokens:int>>"
 _ARROW_CHUNKS = pa.list_(pa.struct([("content", pa.string()), ("n_tokens", pa.int32())]))
@@ -130,9 +131,7 @@ def longer_than(chunks: Column, min_tokens: int = 20) -> Column:
 
 def explode_chunks(df: DataFrame, chunks: Column, keep: list[str]) -> DataFrame:
     """One row per chunk with its position; rows without chunks disappear."""
-    return df.select(*keep, F.posexplode(chunks).alias("chunk_pos", "__chunk")).select(
-        *keep, "chunk_pos", F.col("__chunk.content").alias("content"), F.col("__chunk.n_tokens").alias("n_tokens")
-    )
+    return explode_present(df, keep, chunks, "chunk_pos", "__chunk").select(*keep, "chunk_pos", "__chunk.*")
 
 
 def chunk_html(
@@ -153,11 +152,7 @@ def chunk_html(
         H.sections(F.col(html_col), mark, titled), lambda s: H.section_text(s["header"], s["content"])
     )
     chunks = merge_sections(texts, max_tokens)
-    if overlap is not None:
-        staged = pages.select(*keep, chunks.alias("__chunks"))
-        chunks = split_long(F.col("__chunks"), max_tokens, overlap)
-        return explode_chunks(staged, longer_than(chunks, min_tokens), keep)
-    return explode_chunks(pages, longer_than(chunks, min_tokens), keep)
+    return _finish(pages, keep, chunks, min_tokens, max_tokens, overlap)
 
 
 def chunk_text(
@@ -170,7 +165,13 @@ def chunk_text(
 ) -> DataFrame:
     """Plain text to chunk rows, with lines as sections. ``overlap`` as in ``chunk_html``."""
     chunks = merge_sections(F.split(F.col(text_col), "\n"), max_tokens)
+    return _finish(df, keep, chunks, min_tokens, max_tokens, overlap)
+
+
+def _finish(
+    df: DataFrame, keep: list[str], chunks: Column, min_tokens: int, max_tokens: int, overlap: int | None
+) -> DataFrame:
     if overlap is not None:
-        df = df.select(*keep, chunks.alias("__chunks"))
+        df = compute_once(df, keep, __chunks=chunks)
         chunks = split_long(F.col("__chunks"), max_tokens, overlap)
     return explode_chunks(df, longer_than(chunks, min_tokens), keep)

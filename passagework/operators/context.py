@@ -52,29 +52,20 @@ def example_block(examples: DataFrame, order: list[str], n: int, text: str, labe
 def report(question: Column, answer: Column, references: Column) -> Column:
     """Question, answer and references as an HTML fragment; every inserted value is escaped.
 
-    ``references`` is an array of structs with ``content`` and ``source``, in the order to show.
+    ``references`` is an array of structs with ``content`` and ``source``, in the order to show; each
+    becomes a list item that ends in a link to its source.
     """
 
-    def bubble(colour: str, body: Column) -> Column:
-        style = f"background-color: {colour}; padding: 10px; border-radius: 15px; margin: 10px 0;"
-        return F.concat(F.lit(f'<div style="{style}">'), body, F.lit("</div>"))
-
-    def spoken(who: str, text: Column) -> Column:
-        return F.concat(F.lit(f"<p><strong>{who}:</strong> "), escape_markup(text), F.lit("</p>"))
-
     def cited(reference: Column) -> Column:
         source = escape_markup(reference["source"])
-        body = F.concat(
-            F.lit("<p>"), escape_markup(reference["content"]), F.lit('<br/>(Source: <a href="'), source,
-            F.lit('">'), source, F.lit("</a>)</p>"),
+        return F.concat(
+            F.lit("<li>"), escape_markup(reference["content"]), F.lit(' <a href="'), source, F.lit('">'), source,
+            F.lit("</a></li>"),
         )
-        return bubble("#f8f8f8", body)
 
     return F.concat(
-        F.lit('<div style="font-family: sans-serif; max-width: 600px; margin: auto;">'),
-        bubble("#f0f0f0", spoken("Question", question)),
-        bubble("#e0e0ff", spoken("Answer", answer)),
-        F.lit("<hr/>"),
-        F.array_join(F.transform(references, cited), ""),
-        F.lit("</div>"),
+        F.lit("<section><h3>Question</h3><p>"), escape_markup(question),
+        F.lit("</p><h3>Answer</h3><p>"), escape_markup(answer),
+        F.lit("</p><h3>References</h3><ol>"), F.array_join(F.transform(references, cited), ""),
+        F.lit("</ol></section>"),
     )

@@ -49,14 +49,15 @@ def term_counts(text: Column, dim: int = DIM) -> Column:
         empty = F.array().cast(TERMS_TYPE)
         return F.when(size == 0, empty).otherwise(bind(starts, lengths))
 
-    hashed = F.array_sort(F.transform(tokens(text), lambda w: bucket(w, dim)))
+    hashed = F.sort_array(F.transform(tokens(text), lambda w: bucket(w, dim)))
     return bind(hashed, count)
 
 
 def bucket_frequencies(df: DataFrame, terms_col: str = "terms") -> DataFrame:
     """Number of rows holding each bucket: at most ``dim`` rows, combined before the shuffle."""
     return (
-        df.select(F.explode(F.col(f"{terms_col}.bucket")).alias("bucket"))
+        df.select(F.explode_outer(F.col(f"{terms_col}.bucket")).alias("bucket"))
+        .where(F.col("bucket").isNotNull())
         .groupBy("bucket")
         .agg(F.count(F.lit(1)).alias("df"))
     )

@@ -8,7 +8,8 @@ Two ways lead to the same rows:
 * *grid*: any other question side. Both sides are cut into blocks of bounded size by a hash of their
   id, each pair of blocks meets in one task by an ordinary shuffle, and each cell returns its best k.
 
-Both end in a top-k per question. Scores are rounded before ranking and ties go to the smallest id, in
+Both end in a top-k per question. The hits of a scan are few, at most ``questions * k``, and carry a
+broadcast hint where that is proven small. Scores are rounded before ranking and ties go to the smallest id, in
 the tasks as in the final ranking, so any number of exact copies costs no more than k rows per task.
 """
 
@@ -32,6 +33,8 @@ SCAN_VALUES = 8_000_000
 SCAN_ROWS = 20_000
 # Scores held at once in a task, and rows per block of the grid way.
 CELL_SCORES = 2_000_000
+# Hits of the scan way that later joins may broadcast; their number is known to be questions * k.
+BROADCAST_HITS = 500_000
 GRID_QUESTIONS = 8_192
 GRID_CORPUS = 65_536
 
@@ -173,9 +176,11 @@ class _Best:
         if self.metric != "cosine":
             values = -np.sqrt(self._exact(block, corpus, rows, cols))
         values = np.round(values, DIGITS) + 0.0
-        for q in np.unique(rows):
-            mine = rows == q
-            self._merge(int(index[q]), values[mine], ids[cols[mine]])
+        # Candidates come in question order, so each question's are a slice.
+        touched = np.unique(rows)
+        ends = np.searchsorted(rows, touched, side="right")
+        for q, begin, end in zip(index[touched].tolist(), [0, *ends[:-1].tolist()], ends.tolist()):
+            self._merge(q, values[begin:end], ids[cols[begin:end]])
 
     def _exact(self, block, corpus, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
         step = 4096
@@ -323,10 +328,13 @@ def nearest(
         found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(cell, schema)
 
     better = F.col("score").asc() if metric == "l2" else F.col("score").desc()
-    ranked = top_k(found, ["qid"], [better, F.col("id").asc()], k)
-    return ranked.select(
+    ranked = top_k(found, ["qid"], [better, F.col("id").asc()], k).select(
         F.col("qid").alias(question_id), F.col("id").alias(corpus_id), "rk", F.col("score").alias(score)
     )
+    if small is not None and small.num_rows * k <= BROADCAST_HITS:
+        # Fetching the hits' content then reads the corpus without shuffling it.
+        return F.broadcast(ranked)
+    return ranked
 
 
 def _small_side(left: DataFrame, dim: int | None) -> pa.Table | None:

@@ -8,13 +8,14 @@ from dataclasses import dataclass
 from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passagework.functions.templates import render
 from passagework.functions.text import bind, sentences, tokens
 from passagework.operators.ranking import top_k
+from passagework.operators.rows import explode_present
 
 
 @dataclass(frozen=True)
@@ -100,14 +101,12 @@ def extractive_summary(df: DataFrame, key: str, text_col: str, out: str = "model
     placement. ``key`` must be unique. Returns ``key, out, summary_score`` for texts with a token.
     """
     placed = df.select(key, F.col(text_col).alias("__text")).repartition(key)
-    split = placed.select(key, F.posexplode(sentences(F.col("__text"))).alias("__pos", "__sentence"))
-    words = split.select(key, "__pos", F.explode(tokens(F.col("__sentence"))).alias("__word"))
+    split = explode_present(placed, [key], sentences(F.col("__text")), "__pos", "__sentence")
+    words = split.select(key, "__pos", F.explode_outer(tokens(F.col("__sentence"))).alias("__word"))
     in_sentence = words.groupBy(key, "__word", "__pos").agg(F.count(F.lit(1)).alias("__n"))
-    in_text = in_sentence.groupBy(key, "__word").agg(
-        F.sum("__n").alias("__tf"), F.collect_list(F.struct("__pos", "__n")).alias("__where")
-    )
+    in_text = F.sum("__n").over(Window.partitionBy(key, "__word"))
     scored = (
-        in_text.select(key, "__tf", F.inline("__where"))
+        in_sentence.withColumn("__tf", in_text)
         .groupBy(key, "__pos")
         .agg(F.sum(F.col("__tf") * F.col("__n")).alias("summary_score"))
     )

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from passagework.functions.html import ARTICLE, Selector, article_html, article_native
+from passagework.functions.html import ARTICLE, Selector, article_html, article_native, needs_parser
 from passagework.operators.chunking import chunk_html
+from passagework.operators.rows import compute_once
 
 
 def extract_articles(
@@ -16,9 +17,12 @@ def extract_articles(
 
     ``native`` promises that containers do not nest and keeps every page in the JVM.
     """
-    extract = article_native if native else article_html
-    found = pages.select(*keep, extract(F.col(html), selector).alias("article"))
-    return found.where(F.col("article").isNotNull())
+    if native:
+        article = article_native(F.col(html), selector)
+    else:
+        pages = compute_once(pages, [*keep, html], __parser=needs_parser(F.col(html), selector))
+        article = article_html(F.col(html), F.col("__parser"), selector)
+    return compute_once(pages, keep, article=article).where(F.col("article").isNotNull())
 
 
 def page_chunks(

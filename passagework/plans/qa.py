@@ -28,8 +28,8 @@ def answer(
     """
     hits = retrieve_chunks(questions, index, ["content", source], k, question_id, text)
     hits = hits.withColumn("source", F.col(source).cast("string"))
-    grouped = hits.groupBy(question_id).agg(
-        F.first(text).alias("question"), in_rank_order("rk", "content", "source").alias("input_documents")
+    grouped = hits.groupBy(question_id, F.col(text).alias("question")).agg(
+        in_rank_order("rk", "content", "source").alias("input_documents")
     )
     context = F.array_join(F.transform("input_documents", lambda d: d["content"]), JOINER)
     stuffed = grouped.withColumn("__context", context)

@@ -18,6 +18,7 @@ from passagework.operators import ranking as W
 from passagework.operators import retrieval as R
 from passagework.operators import scoring as S
 from passagework.operators.nearest import nearest
+from passagework.operators.rows import explode_present
 from passagework.plans.ingest import extract_articles, page_chunks
 from passagework.plans.qa import answer
 from passagework.session import scratch_path
@@ -117,7 +118,7 @@ def article_extract(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def header_sections(spark: SparkSession, sf: str) -> DataFrame:
     articles = extract_articles(_spread(spark, sf, "pages"), ["page_id"], native=True)
-    found = articles.select("page_id", F.posexplode(H.sections(F.col("article"), "h1")).alias("pos", "s"))
+    found = explode_present(articles, ["page_id"], H.sections(F.col("article"), "h1"), "pos", "s")
     text = H.section_text(F.col("s.header"), F.col("s.content"))
     return found.select(
         "page_id", "pos", F.col("s.header").alias("header"), F.col("s.content").alias("content"), text.alias("text")
@@ -152,7 +153,7 @@ def truncate_tokens(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def token_windows(spark: SparkSession, sf: str) -> DataFrame:
     docs = _spread(spark, sf, "documents")
-    return docs.select("doc_id", F.posexplode(X.token_windows(F.col("text"))).alias("win_pos", "content"))
+    return explode_present(docs, ["doc_id"], X.token_windows(F.col("text")), "win_pos", "content")
 
 
 @_query

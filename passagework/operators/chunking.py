@@ -53,8 +53,9 @@ def merge_sections(texts: Column, max_tokens: int = 400) -> Column:
 
 
 def whole_text(text: Column) -> Column:
-    """A text as a single chunk, the splitter's input when there is nothing to merge."""
-    return F.array(F.struct(strip(text).alias("content"), token_count(text).alias("n_tokens"))).cast(CHUNKS_TYPE)
+    """A text as a single chunk, the splitter's input when there is nothing to merge; none for a blank one."""
+    chunk = F.struct(strip(text).alias("content"), token_count(text).alias("n_tokens"))
+    return F.filter(F.array(chunk).cast(CHUNKS_TYPE), lambda c: c["content"] != "")
 
 
 def split_long(
@@ -62,7 +63,8 @@ def split_long(
 ) -> Column:
     """Split the chunks of ``max_tokens`` or more into overlapping chunks of at most ``max_tokens``.
 
-    Arrays without such a chunk pass through in the JVM; the splitter sees null in their place.
+    Arrays the splitter would leave as they are pass through in the JVM; it sees null in their place.
+    Other separators than the default send every array to it.
     """
     if not 0 <= overlap < max_tokens:
         raise ValueError("overlap must be at least 0 and below max_tokens")
@@ -78,7 +80,15 @@ def split_long(
             out.append([{"content": c, "n_tokens": n} for part in parts for c, n in part])
         return pa.array(out, _ARROW_CHUNKS)
 
-    is_long = F.coalesce(F.exists(chunks, lambda c: c["n_tokens"] >= max_tokens), F.lit(False))
+    def may_split(chunk: Column) -> Column:
+        # A text without any blank is cut between characters, whatever its token count.
+        unbroken = ~chunk["content"].rlike("[ \\n]") & (F.length(chunk["content"]) > max_tokens)
+        return (chunk["n_tokens"] >= max_tokens) | unbroken
+
+    if tuple(separators) == SEPARATORS:
+        is_long = F.coalesce(F.exists(chunks, may_split), F.lit(False))
+    else:
+        is_long = chunks.isNotNull()
     return F.when(is_long, split(F.when(is_long, chunks))).otherwise(chunks)
 
 

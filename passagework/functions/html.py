@@ -126,8 +126,12 @@ def decode_entities(text: Column) -> Column:
 
 def clean_text(html: Column) -> Column:
     """Visible text: hidden parts and tags gone, block tags as line breaks, references decoded."""
-    out = F.regexp_replace(html, HIDDEN, " ")
-    out = F.regexp_replace(out, BLOCK_TAG, "\n")
+    return _visible_text(F.regexp_replace(html, HIDDEN, " "))
+
+
+def _visible_text(html: Column) -> Column:
+    """``clean_text`` of markup whose hidden parts are gone already."""
+    out = F.regexp_replace(html, BLOCK_TAG, "\n")
     out = F.regexp_replace(out, ANY_TAG, "")
     out = decode_entities(out)
     out = F.regexp_replace(out, "[ \\t\\r\\f ]+", " ")
@@ -148,13 +152,13 @@ def sections(article: Column, tag: str = "h2", titled: bool = True) -> Column:
     visible = F.regexp_replace(article, HIDDEN, " ")
 
     def lead(part: Column) -> Column:
-        return F.struct(F.lit("").alias("header"), clean_text(part).alias("content"))
+        return F.struct(F.lit("").alias("header"), _visible_text(part).alias("content"))
 
     def marked(part: Column) -> Column:
         if not titled:
             return lead(part)
-        head = clean_text(F.regexp_extract(part, close, 1))
-        return F.struct(head.alias("header"), clean_text(F.regexp_replace(part, close, "")).alias("content"))
+        head, body = F.regexp_extract(part, close, 1), F.regexp_replace(part, close, "")
+        return F.struct(_visible_text(head).alias("header"), _visible_text(body).alias("content"))
 
     def build(parts: Column) -> Column:
         first = F.transform(F.slice(parts, F.lit(1), F.lit(1)), lead)

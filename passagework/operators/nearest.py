@@ -82,7 +82,7 @@ class _Dense:
 
 
 class _Sparse:
-    """Rows of ``(bucket, weight)`` pairs below a fixed dimension; questions become dense on demand."""
+    """Rows of ``(bucket, weight)`` pairs below a fixed dimension."""
 
     def __init__(self, column: pa.ListArray, dim: int):
         self.dim = dim
@@ -111,22 +111,32 @@ class _Sparse:
 
     def dense(self) -> np.ndarray:
         out = np.zeros((len(self.squares), self.dim))
-        out[np.repeat(np.arange(len(self.squares)), np.diff(self.bounds)), self.bucket] = self.weight
+        out[self.row_of_pair(), self.bucket] = self.weight
         return out
 
+    def row_of_pair(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.squares)), np.diff(self.bounds))
+
     def dots(self, other: _Sparse) -> np.ndarray:
-        """Question rows times corpus rows, a bounded number of corpus pairs at a time."""
-        table = np.ascontiguousarray(self.dense().T)
-        out = np.empty((len(self.squares), len(other.squares)))
-        step = max(1, CELL_SCORES // max(1, len(self.squares)))
+        """Products of all rows, by matching equal buckets; a bounded number of matches at a time."""
+        height, width = len(self.squares), len(other.squares)
+        order = np.argsort(self.bucket, kind="stable")
+        rows, weights = self.row_of_pair()[order], self.weight[order]
+        first = np.searchsorted(self.bucket[order], np.arange(self.dim + 1))
+        matches = np.diff(first)[other.bucket]
+        columns, reached = other.row_of_pair(), np.cumsum(matches)
+        out = np.zeros(height * width)
         begin = 0
-        while begin < len(other.squares):
-            end = int(np.searchsorted(other.bounds, other.bounds[begin] + step, side="right")) - 1
-            end = min(max(end, begin + 1), len(other.squares))
-            part = other.take(np.arange(begin, end))
-            out[:, begin:end] = part._row_sums(table[part.bucket] * part.weight[:, None]).T
+        while begin < len(matches):
+            done = reached[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(reached, done + CELL_SCORES, side="right")))
+            n = matches[begin:end]
+            pair = np.repeat(np.arange(begin, end), n)
+            at = first[other.bucket[pair]] + np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n)
+            cells = rows[at] * width + columns[pair]
+            out += np.bincount(cells, weights[at] * other.weight[pair], minlength=height * width)
             begin = end
-        return out
+        return out.reshape(height, width)
 
     def exact_square(self, other: _Sparse, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         left, right = self.take(i).dense(), other.take(j).dense()
@@ -165,7 +175,9 @@ class _Best:
         k = min(self.k, len(ids))
         bar = np.full(len(index), -np.inf)
         if len(ids) > self.k:
-            bar = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k]
+            # Questions that have k rows already are held to those; only the others need a bar from here.
+            fresh = np.flatnonzero(np.isneginf(self.floor[index]))
+            bar[fresh] = np.partition(scores[fresh], len(ids) - k, axis=1)[:, len(ids) - k]
         # Rounding, and cancellation in squared distances, may reorder what lies this close.
         slack = 2e-6
         if self.metric != "cosine":
@@ -241,6 +253,7 @@ def nearest(
     score: str = "score",
     dim: int | None = None,
     way: str = "auto",
+    skip_same_id: bool = False,
 ) -> DataFrame:
     """The ``k`` nearest corpus rows of every question: ``question_id, corpus_id, rk, score``.
 
@@ -248,7 +261,8 @@ def nearest(
     (1 - d^2 / sqrt 2). Vectors are numeric arrays, or ``array<struct<bucket, weight>>`` below ``dim``.
     Null vectors match nothing, nor do zero vectors under cosine. Ids must be unique per side and have
     different column names. ``way`` forces ``scan`` or ``grid``; ``auto`` scans only if the questions
-    are proven to fit.
+    are proven to fit. ``skip_same_id`` leaves out the corpus row with the question's own id, for a table
+    searched with its own rows.
     """
     if metric not in METRICS or way not in ("auto", "scan", "grid"):
         raise ValueError(f"unknown metric {metric!r} or way {way!r}")
@@ -268,6 +282,7 @@ def nearest(
     if small is None and way == "scan":
         raise ValueError("the question side exceeds the bound of the scan way")
     names = ["qid", "id", "score"]
+    kept = k + 1 if skip_same_id else k  # ids are unique, so at most one of the kept rows is left out
     schema = T.StructType(
         [
             T.StructField("qid", left.schema["qid"].dataType),
@@ -291,7 +306,7 @@ def nearest(
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             qids, rows = prepared(shared.value)
-            best = _Best(rows, k, metric)
+            best = _Best(rows, kept, metric)
             for batch in batches:
                 best.add(_ids(batch.column(0)), vectors(batch.column(1)))
             yield _hits(best, qids, c_type, names)
@@ -316,7 +331,7 @@ def nearest(
             if not questions_part.num_rows or not corpus_part.num_rows:
                 return schema_of.empty_table()
             qids, rows = prepared(questions_part)
-            best = _Best(rows, k, metric)
+            best = _Best(rows, kept, metric)
             step = 8192
             for begin in range(0, corpus_part.num_rows, step):
                 part = corpus_part.slice(begin, step)
@@ -327,6 +342,8 @@ def nearest(
         keys = ("qb", "cb")
         found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(cell, schema)
 
+    if skip_same_id:
+        found = found.where(F.col("qid") != F.col("id"))
     better = F.col("score").asc() if metric == "l2" else F.col("score").desc()
     ranked = top_k(found, ["qid"], [better, F.col("id").asc()], k).select(
         F.col("qid").alias(question_id), F.col("id").alias(corpus_id), "rk", F.col("score").alias(score)

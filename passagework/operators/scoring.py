@@ -103,13 +103,8 @@ def extractive_summary(df: DataFrame, key: str, text_col: str, out: str = "model
     placed = df.select(key, F.col(text_col).alias("__text")).repartition(key)
     split = explode_present(placed, [key], sentences(F.col("__text")), "__pos", "__sentence")
     words = split.select(key, "__pos", F.explode_outer(tokens(F.col("__sentence"))).alias("__word"))
-    in_sentence = words.groupBy(key, "__word", "__pos").agg(F.count(F.lit(1)).alias("__n"))
-    in_text = F.sum("__n").over(Window.partitionBy(key, "__word"))
-    scored = (
-        in_sentence.withColumn("__tf", in_text)
-        .groupBy(key, "__pos")
-        .agg(F.sum(F.col("__tf") * F.col("__n")).alias("summary_score"))
-    )
+    in_text = F.count(F.lit(1)).over(Window.partitionBy(key, "__word"))
+    scored = words.withColumn("__tf", in_text).groupBy(key, "__pos").agg(F.sum("__tf").alias("summary_score"))
     best = top_k(scored, [key], [F.col("summary_score").desc(), F.col("__pos").asc()], 1, rank="__rk")
     # Joined by key alone, both sides keep the placement made above.
     sentence = F.get(sentences(F.col("__text")), F.col("__pos"))

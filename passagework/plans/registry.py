@@ -194,16 +194,10 @@ def hash_embed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _neighbours(spark: SparkSession, sf: str, k: int, metric: str = "cosine", way: str = "auto") -> DataFrame:
+def _neighbours(spark: SparkSession, sf: str, k: int, metric: str = "cosine", **options) -> DataFrame:
     corpus = _spread(spark, sf, "embeddings")
     questions = _plain(spark, sf, "embeddings").withColumnRenamed("vec_id", "qid")
-    return nearest(corpus, questions, k, metric, corpus_id="vec_id", question_id="qid", way=way)
-
-
-def _others(spark: SparkSession, sf: str, k: int) -> DataFrame:
-    """The ``k`` nearest vectors of each vector besides itself."""
-    others = _neighbours(spark, sf, k + 1).where("qid <> vec_id").drop("rk")
-    return W.top_k(others, ["qid"], [F.col("score").desc(), F.col("vec_id").asc()], k)
+    return nearest(corpus, questions, k, metric, corpus_id="vec_id", question_id="qid", **options)
 
 
 @_query
@@ -230,7 +224,7 @@ def knn_blocked(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def knn_label_vote(spark: SparkSession, sf: str) -> DataFrame:
     labels = _plain(spark, sf, "embeddings").select("vec_id", "label")
-    return S.vote(_others(spark, sf, 5), labels, "qid", "vec_id", "label").select(
+    return S.vote(_neighbours(spark, sf, 5, skip_same_id=True), labels, "qid", "vec_id", "label").select(
         "qid", F.col("label").cast("bigint").alias("label"), "votes"
     )
 
@@ -238,7 +232,7 @@ def knn_label_vote(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def abstain_gate(spark: SparkSession, sf: str) -> DataFrame:
     labels = _plain(spark, sf, "embeddings").select("vec_id", F.col("label").cast("string").alias("label"))
-    hits = _others(spark, sf, 3).join(labels, "vec_id")
+    hits = _neighbours(spark, sf, 3, skip_same_id=True).join(labels, "vec_id")
     return S.abstain(hits, "qid", "score", 0.4, F.min_by("label", "rk"), "I do not know.")
 
 
@@ -339,12 +333,14 @@ def prompt_abstain(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def prompt_few_shot(spark: SparkSession, sf: str) -> DataFrame:
-    """Examples are the three shortest labelled documents."""
+    """Examples are the three shortest labelled documents, chosen before any text is read."""
     labels = _plain(spark, sf, "labels").select(
         "doc_id", F.when(F.col("quality") == 1, "Positive").otherwise("Negative").alias("label")
     )
-    labelled = _plain(spark, sf, "documents").select("doc_id", "text", "n_chars").join(labels, "doc_id")
-    examples = K.example_block(labelled, ["n_chars", "doc_id"], 3, "text", "label")
+    documents = _plain(spark, sf, "documents")
+    chosen = first_n(documents.select("doc_id", "n_chars").join(labels, "doc_id"), 3, "n_chars", "doc_id")
+    pool = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    examples = K.example_block(pool, ["n_chars", "doc_id"], 3, "text", "label")
     prompt = P.render(P.FEW_SHOT, {"examples": examples, "input_string": F.col("text")})
     return _user_turns(spark, sf).select("conv_id", "turn", prompt.alias("prompt"))
 

@@ -124,6 +124,14 @@ def test_oversized_questions_take_the_grid(spark, monkeypatch):
     assert "MapInArrow" in few and "FlatMapCoGroups" not in few
 
 
+@pytest.mark.parametrize("way", ["scan", "grid"])
+def test_own_rows_can_be_skipped(spark, way):
+    rows = vectors(40, 4, 9, copies=10)
+    found = N.nearest(frame(spark, rows, "id"), frame(spark, rows, "qid"), 3, way=way, skip_same_id=True)
+    wanted = {q: [h for h in hits if h[0] != q][:3] for q, hits in brute(rows, rows, 4, "cosine").items()}
+    assert collected(found) == wanted
+
+
 def test_bad_arguments(spark):
     df = frame(spark, vectors(3, 4, 8), "id")
     other = frame(spark, vectors(3, 5, 8), "qid")

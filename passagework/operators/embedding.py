@@ -7,6 +7,7 @@ they match words, not meaning. A model is plugged in with ``embed_with``.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -96,25 +97,29 @@ def weigh(df: DataFrame, idf: DataFrame, terms_col: str = "terms", out: str = "e
     return named.withColumn(out, weighted).drop("__idf").withColumn("norm", F.sqrt(square))
 
 
-def embed_with(
-    df: DataFrame,
-    text_col: str,
-    load: Callable[[], Callable[[Sequence[str]], Sequence[Sequence[float]]]],
-    dim: int,
-    out: str = "embedding",
-) -> DataFrame:
-    """Add vectors of a caller's model. ``load`` runs once per task and returns ``texts -> vectors``.
+@dataclass(frozen=True)
+class Embedder:
+    """A caller's model. ``load`` runs once per task and returns ``texts -> vectors`` of ``dim`` values."""
+
+    name: str
+    load: Callable[[], Callable[[Sequence[str]], Sequence[Sequence[float]]]]
+    dim: int
+
+
+def embed_with(df: DataFrame, text_col: str, model: Embedder, out: str = "embedding") -> DataFrame:
+    """Add vectors of a caller's model.
 
     Only the text column is sent to Python. Null texts get null vectors; a wrong dimension fails.
     """
+    load, dim = model.load, model.dim
 
     @F.arrow_udf("array<float>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = load()
+        embed = load()
         for texts in batches:
             values = texts.to_pylist()
             known = [t for t in values if t is not None]
-            vectors = list(model(known)) if known else []
+            vectors = list(embed(known)) if known else []
             if len(vectors) != len(known) or any(len(v) != dim for v in vectors):
                 raise ValueError(f"the model must return one vector of {dim} values per text")
             given = iter(vectors)

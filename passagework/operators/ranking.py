@@ -21,7 +21,8 @@ def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str
         raise ValueError("k must be at least 1")
     if k > GROUP_LIMIT_RANK:
         columns = df.columns
-        salted = df.withColumn("__salt", F.pmod(F.xxhash64(*columns), F.lit(salts)))
+        # The partition takes part, so that even exact copies of one row are spread.
+        salted = df.withColumn("__salt", F.pmod(F.xxhash64(*columns) + F.spark_partition_id(), F.lit(salts)))
         part = Window.partitionBy(*keys, "__salt").orderBy(*order)
         df = salted.withColumn("__rn", F.row_number().over(part)).where(F.col("__rn") <= k).select(*columns)
     whole = Window.partitionBy(*keys).orderBy(*order)

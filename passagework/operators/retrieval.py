@@ -1,7 +1,8 @@
 """The index of a chunk table and the lookup of a whole table of questions in it.
 
-An index is two written tables: ``chunks`` (one row per chunk: its id, content, source columns, vector
-and norm) and ``idf`` (one row per vector dimension).
+An index is a folder of written tables: ``chunks`` (one row per chunk: its id, content, source columns,
+vector and norm), ``meta`` (the model's name and dimension) and, for the built-in vectors, ``idf`` (one
+row per dimension).
 """
 
 from __future__ import annotations
@@ -12,10 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passagework.operators.context import attach
-from passagework.operators.embedding import DIM, idf_table, term_counts, weigh
+from passagework.operators.embedding import DIM, Embedder, embed_with, idf_table, term_counts, weigh
 from passagework.operators.nearest import nearest
 from passagework.session import scratch_path
 
+HASHED = "hashed-tf-idf"
+
 
 def chunk_key(source: str, position: str = "chunk_pos") -> Column:
     """Id of a chunk: its source's id and its position there."""
@@ -24,42 +27,65 @@ def chunk_key(source: str, position: str = "chunk_pos") -> Column:
 
 @dataclass(frozen=True)
 class Index:
-    """An opened index."""
+    """An opened index. ``idf`` belongs to the built-in vectors, ``model`` to a caller's."""
 
     chunks: DataFrame
-    idf: DataFrame
+    name: str
     dim: int
+    idf: DataFrame | None = None
+    model: Embedder | None = None
 
 
 def build_index(
-    spark: SparkSession, chunks: DataFrame, path: str, chunk_id: str = "chunk_id", content: str = "content", dim: int = DIM
+    spark: SparkSession,
+    chunks: DataFrame,
+    path: str,
+    chunk_id: str = "chunk_id",
+    content: str = "content",
+    dim: int = DIM,
+    model: Embedder | None = None,
 ) -> Index:
     """Write the index of ``chunks`` to ``path`` and open it; an earlier index there is replaced.
 
-    Term counts are written once with their chunks, because both the idf table and the vectors need
-    them; reading them back is cheaper than cutting every text into tokens twice. Chunk ids must be
-    unique: building twice gives the same index, and a repeated id is an error.
+    Vectors are those of ``model``, or else hashed TF-IDF weights. Chunk ids must be unique: building
+    twice gives the same index, and a repeated id is an error.
     """
+    # Both the idf table and the vectors need the term counts. Staging them with their chunks is
+    # cheaper than cutting every text into tokens twice, and frees ``chunks`` to come from ``path``.
     staged = scratch_path(spark, "terms")
-    chunks.withColumn("__terms", term_counts(F.col(content), dim)).write.parquet(staged)
+    source = chunks if model else chunks.withColumn("__terms", term_counts(F.col(content), dim))
+    source.write.parquet(staged)
     terms = spark.read.parquet(staged)
     repeated = terms.groupBy(chunk_id).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).limit(1)
     if not repeated.isEmpty():
         raise ValueError(f"column {chunk_id!r} holds repeated ids")
-    idf_table(terms, "__terms", dim).coalesce(1).write.mode("overwrite").parquet(f"{path}/idf")
-    idf = spark.read.parquet(f"{path}/idf")
-    weigh(terms, idf, "__terms").drop("__terms").write.mode("overwrite").parquet(f"{path}/chunks")
-    return open_index(spark, path)
-
-
-def open_index(spark: SparkSession, path: str) -> Index:
-    """Open a written index; its dimension is the number of idf rows."""
-    idf = spark.read.parquet(f"{path}/idf")
-    return Index(spark.read.parquet(f"{path}/chunks"), idf, idf.count())
+    if model:
+        name, dim = model.name, model.dim
+        square = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x)
+        embedded = embed_with(terms, content, model).withColumn("norm", F.sqrt(square))
+    else:
+        name = HASHED
+        idf_table(terms, "__terms", dim).coalesce(1).write.mode("overwrite").parquet(f"{path}/idf")
+        embedded = weigh(terms, spark.read.parquet(f"{path}/idf"), "__terms").drop("__terms")
+    embedded.write.mode("overwrite").parquet(f"{path}/chunks")
+    spark.createDataFrame([(name, dim)], "name string, dim int").coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
+    return open_index(spark, path, model)
+
+
+def open_index(spark: SparkSession, path: str, model: Embedder | None = None) -> Index:
+    """Open a written index; questions must be embedded by the same model as its chunks were."""
+    meta = spark.read.parquet(f"{path}/meta").first()
+    given = (model.name, model.dim) if model else (HASHED, meta["dim"])
+    if given != (meta["name"], meta["dim"]):
+        raise ValueError(f"the index holds vectors of {meta['name']} ({meta['dim']}), not of {given[0]} ({given[1]})")
+    idf = None if model else spark.read.parquet(f"{path}/idf")
+    return Index(spark.read.parquet(f"{path}/chunks"), meta["name"], meta["dim"], idf, model)
 
 
 def embed_questions(questions: DataFrame, text: str, index: Index) -> DataFrame:
-    """Question vectors with the index's own dimension and idf weights."""
+    """Question vectors by the index's own model, or with its dimension and idf weights."""
+    if index.model:
+        return embed_with(questions, text, index.model)
     terms = questions.withColumn("__terms", term_counts(F.col(text), index.dim))
     return weigh(terms, index.idf, "__terms").drop("__terms")
 

@@ -22,7 +22,7 @@ from passagework.operators.rows import explode_present
 from passagework.plans.ingest import extract_articles, page_chunks
 from passagework.plans.qa import answer
 from passagework.session import scratch_path
-from passagework.sources.tables import attach_payload, first_n, read_parquet
+from passagework.sources.tables import attach_payload, first_n, pick_split, read_parquet
 from passagework.sources.xml import read_sitemap, read_xml_rows, write_sitemap, write_xml_rows
 from passagework.streaming.ingest import stream_page_chunks
 
@@ -65,6 +65,20 @@ def payload_left_join(spark: SparkSession, sf: str) -> DataFrame:
     return attach_payload(pages.select("url").unionAll(found), pages)
 
 
+@_query
+def payload_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Payloads of pages landed over https; the others count as refused."""
+    pages = _plain(spark, sf, "pages")
+    status = F.when(F.col("url").startswith("https:"), 200).otherwise(403)
+    return attach_payload(pages.select("url"), pages.withColumn("status", status), status="status")
+
+
+@_query
+def split_first_n(spark: SparkSession, sf: str) -> DataFrame:
+    """The first ten documents of one language, as a dataset's split."""
+    return pick_split(_plain(spark, sf, "documents"), "en", 10, "doc_id", column="lang").select("doc_id", "text")
+
+
 @_query
 def xml_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The events table written as XML attribute rows and read back."""
@@ -115,6 +129,13 @@ def article_extract(spark: SparkSession, sf: str) -> DataFrame:
     return articles.select("page_id", "url", H.clean_text(F.col("article")).alias("text"))
 
 
+@_query
+def article_parser(spark: SparkSession, sf: str) -> DataFrame:
+    """The first navigation entry of each page: pages hold several entries, so the parser decides."""
+    entries = extract_articles(_spread(spark, sf, "pages"), ["page_id"], selector=H.Selector("li"))
+    return entries.select("page_id", F.col("article").alias("entry"))
+
+
 @_query
 def header_sections(spark: SparkSession, sf: str) -> DataFrame:
     articles = extract_articles(_spread(spark, sf, "pages"), ["page_id"], native=True)

@@ -102,10 +102,26 @@ def test_term_counts(spark):
 
 def test_model_vectors(spark):
     df = spark.createDataFrame([(1, "ab"), (2, None), (3, "c")], "id int, t string")
-    out = B.embed_with(df, "t", lambda: lambda texts: [[float(len(t)), 1.0] for t in texts], 2)
+    out = B.embed_with(df, "t", B.Embedder("length", lambda: lambda texts: [[float(len(t)), 1.0] for t in texts], 2))
     assert {r.id: r.embedding for r in out.collect()} == {1: [2.0, 1.0], 2: None, 3: [1.0, 1.0]}
     with pytest.raises(Exception, match="one vector of 3 values"):
-        B.embed_with(df, "t", lambda: lambda texts: [[1.0]] * len(texts), 3).collect()
+        B.embed_with(df, "t", B.Embedder("bad", lambda: lambda texts: [[1.0]] * len(texts), 3)).collect()
+
+
+def test_index_of_a_model(spark):
+    letters = B.Embedder("letters", lambda: lambda texts: [[t.count("a"), t.count("b")] for t in texts], 2)
+    rows = [("c1", "aaaa"), ("c2", "bbb"), ("c3", "ab"), ("c4", "zzz")]
+    path = scratch_path(spark, "test-model")
+    index = R.build_index(spark, spark.createDataFrame(rows, "chunk_id string, content string"), path, model=letters)
+    assert {r.chunk_id: r.norm for r in index.chunks.collect()} == pytest.approx({"c1": 4, "c2": 3, "c3": 2**0.5, "c4": 0})
+    questions = spark.createDataFrame([(1, "aab"), (2, "b"), (3, "none")], "qid int, question string")
+    found = R.retrieve(questions, R.open_index(spark, path, letters), 2)
+    assert sorted((r.qid, r.rk, r.chunk_id) for r in found.collect()) == [
+        (1, 1, "c3"), (1, 2, "c1"), (2, 1, "c2"), (2, 2, "c3"),
+    ]
+    for other in (None, B.Embedder("letters", letters.load, 3), B.Embedder("other", letters.load, 2)):
+        with pytest.raises(ValueError):
+            R.open_index(spark, path, other)
 
 
 def test_index_is_idempotent_and_rejects_repeated_ids(spark, sf):
@@ -118,7 +134,7 @@ def test_index_is_idempotent_and_rejects_repeated_ids(spark, sf):
         rows = index.chunks.select(F.xxhash64("chunk_id", F.to_json("embedding"), "norm").alias("h"))
         digest.append((rows.count(), rows.agg(F.bit_xor("h")).first()[0]))
     assert digest[0] == digest[1] and digest[0][0] == chunks.count()
-    assert index.dim == B.DIM
+    assert (index.name, index.dim) == (R.HASHED, B.DIM)
     with pytest.raises(ValueError):
         R.build_index(spark, chunks.unionAll(chunks.limit(1)), scratch_path(spark, "test-index"))
 

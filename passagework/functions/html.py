@@ -44,7 +44,7 @@ class Selector:
         if self.attr is None:
             return rf"<{self.tag}\b[^>]*>"
         attr = re.escape(self.attr)
-        value = re.escape(self.value)
+        value = f"(?-i:{re.escape(self.value)})"  # names are case-blind in HTML, values are not
         return rf"""<{self.tag}\b[^>]*\s{attr}\s*=\s*(?:"{value}"|'{value}'|{value}(?=[\s>]))[^>]*>"""
 
 

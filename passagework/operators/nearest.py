@@ -33,6 +33,8 @@ SCAN_VALUES = 8_000_000
 SCAN_ROWS = 20_000
 # Scores held at once in a task, and rows per block of the grid way.
 CELL_SCORES = 2_000_000
+# Cores above which the tasks' rows are ranked in two steps.
+WIDE_CLUSTER = 512
 # Hits of the scan way that later joins may broadcast; their number is known to be questions * k.
 BROADCAST_HITS = 500_000
 GRID_QUESTIONS = 8_192
@@ -63,12 +65,13 @@ class _Dense:
             raise ValueError("vectors of one table must have the same dimension")
         dim = int(lengths[0]) if len(lengths) else 0
         flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        self.width = max(dim, 1)
         self.rows = flat.reshape(len(lengths), dim)
         self.squares = np.einsum("ij,ij->i", self.rows, self.rows)
 
     def take(self, index: np.ndarray) -> _Dense:
         out = object.__new__(_Dense)
-        out.rows, out.squares = self.rows[index], self.squares[index]
+        out.width, out.rows, out.squares = self.width, self.rows[index], self.squares[index]
         return out
 
     def dots(self, other: _Dense) -> np.ndarray:
@@ -85,7 +88,7 @@ class _Sparse:
     """Rows of ``(bucket, weight)`` pairs below a fixed dimension."""
 
     def __init__(self, column: pa.ListArray, dim: int):
-        self.dim = dim
+        self.width = dim
         pairs = column.flatten()
         self.bounds = column.offsets.to_numpy() - column.offsets[0].as_py()
         self.bucket = pairs.field("bucket").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -102,7 +105,7 @@ class _Sparse:
 
     def take(self, index: np.ndarray) -> _Sparse:
         out = object.__new__(_Sparse)
-        out.dim, out.squares = self.dim, self.squares[index]
+        out.width, out.squares = self.width, self.squares[index]
         sizes = np.diff(self.bounds)[index]
         out.bounds = np.concatenate([[0], np.cumsum(sizes)])
         at = np.repeat(self.bounds[index] - out.bounds[:-1], sizes) + np.arange(out.bounds[-1])
@@ -110,7 +113,7 @@ class _Sparse:
         return out
 
     def dense(self) -> np.ndarray:
-        out = np.zeros((len(self.squares), self.dim))
+        out = np.zeros((len(self.squares), self.width))
         out[self.row_of_pair(), self.bucket] = self.weight
         return out
 
@@ -122,7 +125,7 @@ class _Sparse:
         height, width = len(self.squares), len(other.squares)
         order = np.argsort(self.bucket, kind="stable")
         rows, weights = self.row_of_pair()[order], self.weight[order]
-        first = np.searchsorted(self.bucket[order], np.arange(self.dim + 1))
+        first = np.searchsorted(self.bucket[order], np.arange(self.width + 1))
         matches = np.diff(first)[other.bucket]
         columns, reached = other.row_of_pair(), np.cumsum(matches)
         out = np.zeros(height * width)
@@ -195,7 +198,7 @@ class _Best:
             self._merge(q, values[begin:end], ids[cols[begin:end]])
 
     def _exact(self, block, corpus, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
-        step = 4096
+        step = max(1, CELL_SCORES // block.width)
         parts = [
             block.exact_square(corpus, rows[a : a + step], cols[a : a + step]) for a in range(0, len(rows), step)
         ]
@@ -278,7 +281,7 @@ def nearest(
     left = left.select(F.col("qid").cast("string" if q_type == pa.string() else "bigint").alias("qid"), "v")
     right = right.select(F.col("id").cast("string" if c_type == pa.string() else "bigint").alias("id"), "v")
 
-    small = None if way == "grid" else _small_side(left, dim if sparse else None)
+    small = None if way == "grid" else _small_side(left)
     if small is None and way == "scan":
         raise ValueError("the question side exceeds the bound of the scan way")
     names = ["qid", "id", "score"]
@@ -345,7 +348,8 @@ def nearest(
     if skip_same_id:
         found = found.where(F.col("qid") != F.col("id"))
     better = F.col("score").asc() if metric == "l2" else F.col("score").desc()
-    ranked = top_k(found, ["qid"], [better, F.col("id").asc()], k).select(
+    wide = corpus.sparkSession.sparkContext.defaultParallelism > WIDE_CLUSTER
+    ranked = top_k(found, ["qid"], [better, F.col("id").asc()], k, wide=wide).select(
         F.col("qid").alias(question_id), F.col("id").alias(corpus_id), "rk", F.col("score").alias(score)
     )
     if small is not None and small.num_rows * k <= BROADCAST_HITS:
@@ -354,12 +358,11 @@ def nearest(
     return ranked
 
 
-def _small_side(left: DataFrame, dim: int | None) -> pa.Table | None:
+def _small_side(left: DataFrame) -> pa.Table | None:
     """The questions as one table if they are within both bounds, else None; reads at most the bound."""
     rows = left.limit(SCAN_ROWS + 1)
     # Only counts are read first, so an oversized side is never brought here.
     seen = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.array_size("v")).alias("values")).first()
-    per_question = max(dim or 0, 1)
-    if seen["n"] > SCAN_ROWS or max(seen["values"] or 0, seen["n"] * per_question) > SCAN_VALUES:
+    if seen["n"] > SCAN_ROWS or (seen["values"] or 0) > SCAN_VALUES:
         return None
     return rows.toArrow()

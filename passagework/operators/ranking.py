@@ -10,16 +10,19 @@ from pyspark.sql import functions as F
 GROUP_LIMIT_RANK = 1000
 
 
-def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str = "rk", salts: int = 64) -> DataFrame:
+def top_k(
+    df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str = "rk", salts: int = 64, wide: bool = False
+) -> DataFrame:
     """The first ``k`` rows of each key in ``order``, with their rank as an int column.
 
     ``order`` must be total within a key. For a small ``k`` Spark itself keeps at most ``k`` rows per
     key and partition before the shuffle. For a larger one the same is done over salted keys first,
-    so no task ever sorts a whole hot key.
+    so no task ever sorts a whole hot key. ``wide`` asks for the salted step at any ``k``: with very
+    many partitions even ``k`` rows of each are much for one task.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    if k > GROUP_LIMIT_RANK:
+    if wide or k > GROUP_LIMIT_RANK:
         columns = df.columns
         # The partition takes part, so that even exact copies of one row are spread.
         salted = df.withColumn("__salt", F.pmod(F.xxhash64(*columns) + F.spark_partition_id(), F.lit(salts)))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from passagework.operators.context import attach
 from passagework.operators.embedding import DIM, Embedder, embed_with, idf_table, term_counts, weigh
 from passagework.operators.nearest import nearest
-from passagework.session import scratch_path
+from passagework.session import stage
 
 HASHED = "hashed-tf-idf"
 
@@ -52,10 +52,7 @@ def build_index(
     """
     # Both the idf table and the vectors need the term counts. Staging them with their chunks is
     # cheaper than cutting every text into tokens twice, and frees ``chunks`` to come from ``path``.
-    staged = scratch_path(spark, "terms")
-    source = chunks if model else chunks.withColumn("__terms", term_counts(F.col(content), dim))
-    source.write.parquet(staged)
-    terms = spark.read.parquet(staged)
+    terms = stage(chunks if model else chunks.withColumn("__terms", term_counts(F.col(content), dim)), "terms")
     repeated = terms.groupBy(chunk_id).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).limit(1)
     if not repeated.isEmpty():
         raise ValueError(f"column {chunk_id!r} holds repeated ids")

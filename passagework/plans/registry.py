@@ -21,7 +21,7 @@ from passagework.operators.nearest import nearest
 from passagework.operators.rows import explode_present
 from passagework.plans.ingest import extract_articles, page_chunks
 from passagework.plans.qa import answer
-from passagework.session import scratch_path
+from passagework.session import scratch_path, stage
 from passagework.sources.tables import attach_payload, first_n, pick_split, read_parquet
 from passagework.sources.xml import read_sitemap, read_xml_rows, write_sitemap, write_xml_rows
 from passagework.streaming.ingest import stream_page_chunks
@@ -205,7 +205,8 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def hash_embed(spark: SparkSession, sf: str) -> DataFrame:
-    terms = _spread(spark, sf, "documents").select("doc_id", B.term_counts(F.col("text")).alias("terms"))
+    docs = _spread(spark, sf, "documents")
+    terms = stage(docs.select("doc_id", B.term_counts(F.col("text")).alias("terms")), "terms")
     weighed = B.weigh(terms, B.idf_table(terms))
     pairs = F.zip_with(
         "terms", "embedding", lambda t, e: F.struct(t["bucket"], t["tf"], F.round(e["weight"], 6).alias("weight"))

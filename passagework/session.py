@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -51,3 +51,10 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder; never reused, so no run reads another run's files."""
     return f"{scratch_root(spark)}/passagework/{label}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: computed once, and safe from lost executors."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

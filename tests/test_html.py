@@ -32,7 +32,7 @@ def test_nested_container(spark):
 
 
 def test_no_container_is_left_out(spark):
-    pages = ["<p>none</p>", None, "", "<div>x</div>", '<div itemprop="other">x</div>']
+    pages = ["<p>none</p>", None, "", "<div>x</div>", '<div itemprop="other">x</div>', '<div itemprop="ARTICLEBODY">x</div>']
     assert articles(spark, pages, H.ARTICLE_BODY) == {}
     assert articles(spark, pages, H.ARTICLE) == {}
 

@@ -71,7 +71,7 @@ def test_equals_brute_force(spark, metric, way):
 
 @pytest.mark.parametrize("way", ["scan", "grid"])
 def test_many_blocks(spark, monkeypatch, way):
-    for name, value in (("CELL_SCORES", 50), ("GRID_QUESTIONS", 4), ("GRID_CORPUS", 16)):
+    for name, value in (("CELL_SCORES", 50), ("GRID_QUESTIONS", 4), ("GRID_CORPUS", 16), ("WIDE_CLUSTER", 1)):
         monkeypatch.setattr(N, name, value)
     corpus, questions = vectors(90, 4, 3, copies=30), vectors(11, 4, 4)
     found = N.nearest(frame(spark, corpus, "id"), frame(spark, questions, "qid"), 5, way=way)

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from passagework.functions import html as H
 from passagework.functions.splitting import SEPARATORS, split_spans
-from passagework.functions.text import strip, token_count
+from passagework.functions.text import bind, strip, token_count
 from passagework.operators.rows import compute_once, explode_present
 
 CHUNKS_TYPE = "array<struct<content:string,n_tokens:int>>"
+_SPANS = "array<struct<first:int,size:int,n:int>>"
 _ARROW_CHUNKS = pa.list_(pa.struct([("content", pa.string()), ("n_tokens", pa.int32())]))
 
 
@@ -29,27 +30,40 @@ def merge_sections(texts: Column, max_tokens: int = 400) -> Column:
     counted once: counts add up because a line break always parts two tokens.
     """
     limit = F.lit(max_tokens // 2)
-    counted = F.transform(texts, lambda t: F.struct(t.alias("text"), token_count(t).alias("n")))
-    counted = F.filter(counted, lambda s: s["text"].isNotNull())
-    start = F.struct(
-        F.array().cast(CHUNKS_TYPE).alias("done"), F.lit("").alias("buf"), F.lit(0).alias("n")
-    )
 
-    def closed(acc: Column) -> Column:
-        chunk = F.struct(strip(acc["buf"]).alias("content"), acc["n"].alias("n_tokens"))
-        return F.when(acc["buf"] == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(chunk)))
-
-    def step(acc: Column, section: Column) -> Column:
-        fits = acc["n"] + section["n"] <= limit
-        line = F.concat(section["text"], F.lit("\n"))
-        return F.struct(
-            F.when(fits, acc["done"]).otherwise(closed(acc)).alias("done"),
-            F.when(fits, F.concat(acc["buf"], line)).otherwise(line).alias("buf"),
-            F.when(fits, acc["n"] + section["n"]).otherwise(section["n"]).alias("n"),
+    def spans(counted: Column) -> Column:
+        """Chunks as runs of sections. The fold moves numbers only; texts are joined once, below."""
+        start = F.struct(
+            F.array().cast(_SPANS).alias("done"), F.lit(0).alias("first"), F.lit(0).alias("size"), F.lit(0).alias("n")
         )
 
-    merged = F.aggregate(counted, start, step, closed)
-    return F.filter(merged, lambda c: c["content"] != "")
+        def closed(acc: Column) -> Column:
+            return F.when(acc["size"] == 0, acc["done"]).otherwise(
+                F.concat(acc["done"], F.array(F.struct(acc["first"], acc["size"], acc["n"])))
+            )
+
+        def step(acc: Column, section: Column) -> Column:
+            fits = acc["n"] + section["n"] <= limit
+            return F.struct(
+                F.when(fits, acc["done"]).otherwise(closed(acc)).alias("done"),
+                F.when(fits, acc["first"]).otherwise(acc["first"] + acc["size"]).alias("first"),
+                F.when(fits, acc["size"] + F.lit(1)).otherwise(F.lit(1)).alias("size"),
+                F.when(fits, acc["n"] + section["n"]).otherwise(section["n"]).alias("n"),
+            )
+
+        return F.aggregate(counted, start, step, closed)
+
+    def chunks(counted: Column) -> Column:
+        def joined(span: Column) -> Column:
+            run = F.slice(counted, span["first"] + F.lit(1), span["size"])
+            content = strip(F.array_join(F.transform(run, lambda s: s["text"]), "\n"))
+            return F.struct(content.alias("content"), span["n"].alias("n_tokens"))
+
+        return F.transform(spans(counted), joined)
+
+    counted = F.transform(texts, lambda t: F.struct(t.alias("text"), token_count(t).alias("n")))
+    counted = F.filter(counted, lambda s: s["text"].isNotNull())
+    return F.filter(bind(counted, chunks), lambda c: c["content"] != "")
 
 
 def whole_text(text: Column) -> Column:

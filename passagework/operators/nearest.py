@@ -36,7 +36,7 @@ CELL_SCORES = 2_000_000
 # Cores above which the tasks' rows are ranked in two steps.
 WIDE_CLUSTER = 512
 # Hits of the scan way that later joins may broadcast; their number is known to be questions * k.
-BROADCAST_HITS = 500_000
+BROADCAST_HITS = 100_000
 GRID_QUESTIONS = 8_192
 GRID_CORPUS = 65_536
 
@@ -360,9 +360,8 @@ def nearest(
 
 def _small_side(left: DataFrame) -> pa.Table | None:
     """The questions as one table if they are within both bounds, else None; reads at most the bound."""
-    rows = left.limit(SCAN_ROWS + 1)
-    # Only counts are read first, so an oversized side is never brought here.
-    seen = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.array_size("v")).alias("values")).first()
-    if seen["n"] > SCAN_ROWS or (seen["values"] or 0) > SCAN_VALUES:
+    # Sizes first, partition by partition up to the bound: an oversized side is never brought here.
+    sizes = left.select(F.array_size("v").alias("n")).take(SCAN_ROWS + 1)
+    if len(sizes) > SCAN_ROWS or sum(r.n for r in sizes) > SCAN_VALUES:
         return None
-    return rows.toArrow()
+    return left.toArrow()

@@ -32,7 +32,9 @@ def publish_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
-def overwrite_table(df: DataFrame, name: str, path: str | None = None, bucket_by: str | None = None, buckets: int = 0) -> DataFrame:
+def overwrite_table(
+    df: DataFrame, name: str, path: str | None = None, bucket_by: str | None = None, buckets: int = 0
+) -> DataFrame:
     """Replace a table's content and open it.
 
     With ``bucket_by`` later joins and aggregations on that column need no shuffle. A table cannot be

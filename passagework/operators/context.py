@@ -41,7 +41,8 @@ def example_block(examples: DataFrame, order: list[str], n: int, text: str, labe
     Only those ``n`` rows are gathered; the block reaches every prompt without a join.
     """
     first = examples.orderBy(*order).limit(n)
-    entry = F.struct(*(F.col(c).alias(f"k{i}") for i, c in enumerate(order)), F.col(text).alias("t"), F.col(label).alias("l"))
+    keys = (F.col(c).alias(f"k{i}") for i, c in enumerate(order))
+    entry = F.struct(*keys, F.col(text).alias("t"), F.col(label).alias("l"))
     lines = F.transform(
         F.array_sort(F.collect_list(entry)),
         lambda e: F.concat(F.lit('[Text]: "'), e["t"], F.lit('"\n[Sentiment]: '), e["l"].cast("string")),

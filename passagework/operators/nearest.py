@@ -156,11 +156,14 @@ class _Best:
         self.kept: list[tuple | None] = [None] * size
 
     def _scores(self, block, corpus) -> np.ndarray:
-        """Scores that grow with nearness; exact to far less than the slack below."""
+        """Scores that grow with nearness, up to the slack below."""
         dots = block.dots(corpus)
         if self.metric == "cosine":
             return dots / np.sqrt(block.squares[:, None] * corpus.squares[None, :])
-        return -np.sqrt(np.maximum(block.squares[:, None] + corpus.squares[None, :] - 2 * dots, 0))
+        return self._from_square(np.maximum(block.squares[:, None] + corpus.squares[None, :] - 2 * dots, 0))
+
+    def _from_square(self, square: np.ndarray) -> np.ndarray:
+        return -np.sqrt(square) if self.metric == "l2" else 1.0 - square / math.sqrt(2.0)
 
     def add(self, ids: np.ndarray, corpus) -> None:
         if self.metric == "cosine":
@@ -184,12 +187,13 @@ class _Best:
         # Rounding, and cancellation in squared distances, may reorder what lies this close.
         slack = 2e-6
         if self.metric != "cosine":
-            slack += 1e-6 * math.sqrt(max(block.squares.max(), corpus.squares.max()))
+            largest = max(block.squares.max(), corpus.squares.max())
+            slack += 1e-6 * (math.sqrt(largest) if self.metric == "l2" else largest)
         bar = np.maximum(bar, self.floor[index]) - slack
         rows, cols = np.nonzero(scores >= bar[:, None])
         values = scores[rows, cols]
         if self.metric != "cosine":
-            values = -np.sqrt(self._exact(block, corpus, rows, cols))
+            values = self._from_square(self._exact(block, corpus, rows, cols))
         values = np.round(values, DIGITS) + 0.0
         # Candidates come in question order, so each question's are a slice.
         touched = np.unique(rows)
@@ -231,8 +235,6 @@ def _hits(best: _Best, qids: pa.Array, id_type: pa.DataType, names: list[str]) -
         out_ids = pa.array(ids, id_type)
     if best.metric == "l2":
         scores = -scores + 0.0
-    elif best.metric == "relevance":
-        scores = np.round(1.0 - np.square(scores) / math.sqrt(2.0), DIGITS) + 0.0
     return pa.RecordBatch.from_arrays([qids.take(pa.array(positions)), out_ids, pa.array(scores)], names)
 
 
@@ -262,7 +264,7 @@ def nearest(
 
     ``metric`` is ``cosine`` (similarity), ``l2`` (distance, smallest first) or ``relevance``
     (1 - d^2 / sqrt 2). Vectors are numeric arrays, or ``array<struct<bucket, weight>>`` below ``dim``.
-    Null vectors match nothing, nor do zero vectors under cosine. Ids must be unique per side and have
+    Null ids and vectors match nothing, nor do zero vectors under cosine. Ids must be unique per side and have
     different column names. ``way`` forces ``scan`` or ``grid``; ``auto`` scans only if the questions
     are proven to fit. ``skip_same_id`` leaves out the corpus row with the question's own id, for a table
     searched with its own rows.
@@ -273,7 +275,7 @@ def nearest(
         raise ValueError("k must be at least 1 and the id columns must differ")
     left = questions.select(F.col(question_id).alias("qid"), F.col(question_vector).alias("v"))
     right = corpus.select(F.col(corpus_id).alias("id"), F.col(corpus_vector).alias("v"))
-    left, right = left.where(F.col("v").isNotNull()), right.where(F.col("v").isNotNull())
+    left, right = left.dropna(subset=["qid", "v"]), right.dropna(subset=["id", "v"])
     q_type, c_type = _id_type(left.schema["qid"].dataType), _id_type(right.schema["id"].dataType)
     sparse = isinstance(right.schema["v"].dataType.elementType, T.StructType)
     if sparse and dim is None:

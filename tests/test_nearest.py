@@ -40,7 +40,10 @@ def brute(corpus, questions, k, metric, key=lambda i: i):
                 order = -score
             else:
                 order = round(float(np.linalg.norm(a64 - b64)), 6)
-                score = order if metric == "l2" else round(1 - order * order / math.sqrt(2), 6)
+                score = order
+                if metric == "relevance":
+                    score = round(1 - float((a64 - b64) @ (a64 - b64)) / math.sqrt(2), 6)
+                    order = -score
             scored.append((order, key(i), score))
         out[q] = [(i, s) for _, i, s in sorted(scored)[:k]]
     return {q: hits for q, hits in out.items() if hits}

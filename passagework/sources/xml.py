@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_BAD = "_passagework_bad_record"
+
+
 def read_xml_rows(
     spark: SparkSession, path: str, tag: str = "row", columns: Sequence[str] | None = None, by_line: bool = False
 ) -> DataFrame:
@@ -16,23 +19,31 @@ def read_xml_rows(
 
     Without ``columns`` the columns are the union of all attributes, which costs a pass over the data.
     ``by_line`` reads files that hold one element per line in splits; otherwise a file is one split.
-    Values stay strings: convert them with ``try_cast``, which gives null for bad ones.
+    Values stay strings: convert them with ``try_cast``, which gives null for bad ones. Malformed XML
+    fails the job, since the reader cannot find its way back within a file; by line, it gives a row of
+    nulls for the element.
     """
     reader = spark.read.format("xml").option("rowTag", tag).option("inferSchema", "false")
+    reader = reader.option("columnNameOfCorruptRecord", _BAD)
     if by_line:
-        # The lines around the elements (declaration, root tags) are no records.
-        reader = reader.option("multiLine", "false").option("mode", "DROPMALFORMED")
+        reader = reader.option("multiLine", "false")
+    else:
+        reader = reader.option("mode", "FAILFAST")
     if columns is not None:
-        reader = reader.schema(T.StructType([T.StructField(f"_{c}", T.StringType()) for c in columns]))
+        names = [f"_{c}" for c in columns] + [_BAD] * by_line
+        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in names]))
     df = reader.load(path)
-    attributes = [c for c in df.columns if c.startswith("_") and c != "_corrupt_record"]
+    if by_line and _BAD in df.columns:
+        # The lines around the elements (declaration, root tags) are not bad elements but none at all.
+        df = df.where(F.col(_BAD).isNull() | F.col(_BAD).contains(f"<{tag}"))
+    attributes = [c for c in df.columns if c.startswith("_") and c != _BAD]
     return df.select(*(F.col(f"`{c}`").alias(c[1:]) for c in attributes))
 
 
 def read_sitemap(spark: SparkSession, path: str) -> DataFrame:
     """The addresses of a sitemap as ``url``."""
     schema = T.StructType([T.StructField("loc", T.StringType())])
-    df = spark.read.format("xml").option("rowTag", "url").schema(schema).load(path)
+    df = spark.read.format("xml").option("rowTag", "url").option("mode", "FAILFAST").schema(schema).load(path)
     return df.where(F.col("loc").isNotNull()).select(F.trim("loc").alias("url"))
 
 

@@ -50,6 +50,17 @@ def test_attribute_rows(spark, posts, by_line, columns):
     assert sorted(typed.collect(), key=str) == [(1, 5), (3, None), (None, None)]
 
 
+@pytest.mark.parametrize("columns", [None, ["Id", "Score"]])
+def test_a_bad_element(spark, tmp_path, columns):
+    lines = ["<posts>", '<row Id="1" Score="2" />', '<row Id="9" Score=5 />', '<row Id="3" Score="4" />', "</posts>"]
+    (tmp_path / "bad.xml").write_text("\n".join(lines) + "\n")
+    path = str(tmp_path / "bad.xml")
+    rows = XM.read_xml_rows(spark, path, columns=columns, by_line=True)
+    assert sorted(map(tuple, rows.collect()), key=str) == [("1", "2"), ("3", "4"), (None, None)]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        XM.read_xml_rows(spark, path, columns=columns).collect()
+
+
 def test_sitemap(spark, sitemap):
     assert sorted(r.url for r in XM.read_sitemap(spark, sitemap).collect()) == [
         "https://a.example/1",
@@ -86,6 +97,14 @@ def test_payload(spark):
     assert sorted(r.url for r in rows if r.html is None) == ["b", "c", "d"]
 
 
+def test_a_hot_address_keeps_every_row(spark):
+    """A third of the addresses are one, a third are null; each keeps its row."""
+    urls = spark.range(3000).selectExpr("CASE id % 3 WHEN 0 THEN 'hot' WHEN 1 THEN concat('u', id) END AS url")
+    landing = spark.createDataFrame([("hot", "h"), ("u1", "x"), (None, "never")], "url string, html string")
+    rows = S.attach_payload(urls, landing).groupBy("html").count().collect()
+    assert {r.html: r["count"] for r in rows} == {"h": 1000, "x": 1, None: 1999}
+
+
 def test_namespace_and_tables(spark, tmp_path):
     assert catalog.current_namespace(spark, "ns_").startswith("ns_")
     name = "passagework_test"

@@ -65,7 +65,7 @@ def build_index(
         idf_table(terms, "__terms", dim).coalesce(1).write.mode("overwrite").parquet(f"{path}/idf")
         embedded = weigh(terms, spark.read.parquet(f"{path}/idf"), "__terms").drop("__terms")
     embedded.write.mode("overwrite").parquet(f"{path}/chunks")
-    meta = spark.createDataFrame([(name, dim)], "name string, dim int").coalesce(1)
+    meta = spark.range(0, 1, 1, 1).select(F.lit(name).alias("name"), F.lit(dim).alias("dim"))
     meta.write.mode("overwrite").parquet(f"{path}/meta")
     return open_index(spark, path, model)
 

@@ -62,7 +62,7 @@ def needs_parser(html: Column, selector: Selector = ARTICLE) -> Column:
     """Whether a regular expression might find another element than a parser would.
 
     It cannot if the page has no such tag, or exactly one open and one close tag of that name, neither
-    in a comment nor a script.
+    in a comment nor a script, and the open tag plainly carries the attribute asked for.
     """
     marks = F.lit(rf"(?i)</?{selector.tag}\b")
     pair = rf"(?is)^.*?<{selector.tag}\b.*?</{selector.tag}\s*>"
@@ -70,6 +70,8 @@ def needs_parser(html: Column, selector: Selector = ARTICLE) -> Column:
     def unsafe(total: Column) -> Column:
         bare = F.regexp_replace(html, HIDDEN, " ")
         hidden = bind(bare, lambda b: (F.regexp_count(b, marks) != 2) | ~b.rlike(pair))
+        if selector.attr is not None:
+            hidden = hidden | ~html.rlike(f"(?i){selector.open_pattern()}")
         return F.when(total == 0, F.lit(False)).when(total == 2, hidden).otherwise(F.lit(True))
 
     return bind(F.regexp_count(html, marks), unsafe)

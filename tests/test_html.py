@@ -53,6 +53,13 @@ def test_hidden_containers_do_not_count(spark):
     }
 
 
+def test_attributes_with_brackets(spark):
+    page = '<div data-x="a>b" itemprop="articleBody">text</div>'
+    assert articles(spark, [page, '<div data-x="a>b">text</div>'], H.ARTICLE_BODY) == {0: page}
+    page = "<article title='a>b'>text</article>"
+    assert articles(spark, [page], H.ARTICLE) == {0: page}
+
+
 def test_container_helper_closes_what_was_left_open():
     assert outer_container("<p><div a='1'>x<b>y</div>z", "div", "a", "1") == "<div a='1'>x<b>y</div>"
     assert outer_container("<section><div>x</section>z", "div") == "<div>x</div>"

@@ -4,9 +4,9 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_module
+from passagework.plans.oracle import ORACLE
+from passagework.plans.registry import QUERIES
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
 WITHOUT_SQL = {"recursive_split", "html_chunks_split"}
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagework.llm import chat, decontam, gam, line_dedup, mixing, quality_rules, toxicity
+from passagework.llm import chat, decontam, gam, line_dedup, mixing, ngram_join, ngram_lm, quality_rules, repeats, toxicity
 from passagework.llm.text import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@_query
+def op1_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_lm.score_held_out(_table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @_query
 def op2_mixing(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
@@ -36,6 +41,12 @@ def op3_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@_query
+def op4_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return ngram_join.near_copies(docs, words=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
 @_query
 def op5_chat(spark: SparkSession, sf: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
@@ -77,6 +88,12 @@ def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
     return gam.score(docs, gam.train(docs, labels)).select("doc_id", "held_out", "score", "predicted")
 
 
+@_query
+def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    cut = repeats.remove_repeats(_table(spark, sf, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # The same line key as the operator's: stripped of blanks at both ends, A-Z in lower case.
 ORACLE["op3_line_dedup"] = r"""
 WITH cut AS (

@@ -20,7 +20,6 @@ gives a null component and no link. Columns other than ``doc_id`` and ``text`` a
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -35,6 +34,8 @@ from passagework.session import stage
 
 FREQUENT = 64  # a shingle that more texts hold is indexed in combinations
 CLASSES = 3
+SIGNED = ["sig", "doc", "n", "before"]
+SIGNED_ROWS = 20_000  # index entries given back at once
 
 
 def required(n: np.ndarray | int, percent: int) -> np.ndarray | int:
@@ -149,12 +150,15 @@ def link(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFram
 
     def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            rows = [
-                (s, doc, n, before)
-                for doc, n, k, h in zip(f["doc_id"], f["n"], f["keys"], f["held"])
-                for s, before in signatures(np.frombuffer(k, np.uint64) >> np.uint64(1), 2 ** (np.frombuffer(h, np.uint8) / 8), n, percent)
-            ]
-            yield pd.DataFrame(rows, columns=["sig", "doc", "n", "before"]).astype("int64")
+            rows: list[tuple[int, int, int, int]] = []
+            for doc, n, k, h in zip(f["doc_id"], f["n"], f["keys"], f["held"]):
+                held_by = 2 ** (np.frombuffer(h, np.uint8) / 8)
+                found = signatures(np.frombuffer(k, np.uint64) >> np.uint64(1), held_by, n, percent)
+                rows += [(s, doc, n, before) for s, before in found]
+                if len(rows) > SIGNED_ROWS:
+                    yield pd.DataFrame(rows, columns=SIGNED).astype("int64")
+                    rows = []
+            yield pd.DataFrame(rows, columns=SIGNED).astype("int64")
 
     signed = stage(sets.where("length(keys) > 0").mapInPandas(sign, "sig bigint, doc bigint, n bigint, before bigint"), "signed")
     best = signed.groupBy("sig").agg(F.count("*").alias("c"), F.min(F.struct("before", "doc", "n")).alias("hub")).where("c > 1")

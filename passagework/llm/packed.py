@@ -20,10 +20,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_KEYS = 1_500_000  # occurrences a block holds before it is closed
+BLOCK_KEYS = 700_000  # occurrences a block holds before it is closed
 BLOCK_ROWS = 60_000  # fits the two bytes a row number takes
-PIECE_BYTES = 2_000_000  # text hashed at once
-BUCKET_KEYS = 2_000_000
+PIECE_BYTES = 1_000_000  # text hashed at once
+BUCKET_KEYS = 1_000_000
 END = np.uint64(0x9E3779B97F4A7C15)  # the key of the end of a text
 
 _BLANK = np.zeros(256, bool)
@@ -77,7 +77,7 @@ def word_hashes(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
         starts = np.flatnonzero(begins)
         counts = np.diff(np.searchsorted(starts, at))
         if len(starts):
-            size = 1 << max(21, int(len(piece)).bit_length())
+            size = 1 << max(20, int(len(piece)).bit_length())
             up, down = _powers(size)
             hashes = mix(np.add.reduceat(_VALUE[piece] * up[: len(piece)], starts) * down[starts])
         else:

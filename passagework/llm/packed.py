@@ -35,7 +35,7 @@ _STEP = 0xD6E8FEB86659FD93  # odd, so it has an inverse
 _BACK = pow(_STEP, -1, 2**64)
 
 
-@lru_cache(4)
+@lru_cache(8)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = (np.full(n, x, np.uint64) for x in (_STEP, _BACK))
     up[0] = down[0] = 1

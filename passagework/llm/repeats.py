@@ -58,7 +58,7 @@ def cores(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of the cores of one text: of each window the ``CORE`` bytes with the smallest hash, all ties."""
     if len(data) < LENGTH:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    up, down = packed._powers(1 << max(21, int(len(data) + 1).bit_length()))
+    up, down = packed._powers(1 << max(16, int(len(data) + 1).bit_length()))
     sums = np.append(np.uint64(0), np.cumsum(_BYTE[data] * up[: len(data)]))
     h = packed.mix((sums[CORE:] - sums[:-CORE]) * down[: len(data) - CORE + 1])
     least = _slide(h, SIDE + 1, np.minimum)
@@ -140,36 +140,46 @@ def _hashes(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """The cores that may repeat: ``doc_id, node, at`` with ``core``, its sides, and ``string``, the digest of all three."""
+    """The cores that may repeat: ``core``, its sides and ``string``, the digest of all three, with ``doc_id``, ``node`` and the
+    places ``at``. A row holds all places of a string in a text, so monotonous texts give few rows."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(MAX_BITS, max(16, int(size / 3).bit_length()))
+    bits = min(MAX_BITS, max(16, int(size / 6).bit_length()))
     held = docs.sparkSession.sparkContext.broadcast(twice_seen(_hashes(docs), bits))
     id_type = dict(docs.dtypes)["doc_id"]
 
-    def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for doc_id, node, text in zip(frame["doc_id"], frame["node"], frame["text"]):
-                raw = text.encode()
-                at, h = cores(np.frombuffer(raw, np.uint8))
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = packed.raw_bytes(batch.column(2))
+            rows: list[tuple] = []
+            for i, (start, end) in enumerate(zip(offsets.tolist(), offsets[1:].tolist())):
+                at, h = cores(data[start:end])
                 hit = np.ones(len(at), bool)
                 for p in _probes(h, bits):
                     hit &= (held.value[p >> np.uint64(3)] >> (7 - (p & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
+                raw, own = data[start:end].tobytes(), {}
                 for a in at[hit].tolist():
                     left, core, right = raw[max(0, a - SIDE) : a], raw[a : a + CORE], raw[a + CORE : a + LENGTH]
                     string = xxhash.xxh3_128_digest(b"%d %d " % (len(left), len(right)) + left + core + right)
-                    rows.append((doc_id, node, a, xxhash.xxh3_128_digest(core), left, right, string))
-                if len(rows) > 50_000:
-                    yield pd.DataFrame(rows, columns=_COLUMNS)
+                    if string in own:
+                        own[string][2].append(a)
+                    else:
+                        own[string] = (i, string, [a], xxhash.xxh3_128_digest(core), left, right)
+                rows += own.values()
+                if len(rows) > 20_000:
+                    yield table(batch, rows)
                     rows = []
-            yield pd.DataFrame(rows, columns=_COLUMNS)
+            yield table(batch, rows)
 
-    return docs.select("doc_id", "node", "text").mapInPandas(
-        each, f"doc_id {id_type}, node string, at bigint, core binary, left binary, right binary, string binary"
-    )
+    def table(batch: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
+        of = pa.array([r[0] for r in rows], pa.int64())
+        kinds = [pa.binary(), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary()]
+        given = [pa.array([r[k + 1] for r in rows], kind) for k, kind in enumerate(kinds)]
+        columns = [batch.column(0).take(of), batch.column(1).take(of), *given]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "string", "at", "core", "left", "right"])
 
-
-_COLUMNS = ["doc_id", "node", "at", "core", "left", "right", "string"]
+    return docs.select("doc_id", "node", "text").mapInArrow(
+        each, f"doc_id {id_type}, node string, string binary, at array<int>, core binary, left binary, right binary"
+    )
 
 
 def _all_windows(left: F.Column, right: F.Column) -> F.Column:
@@ -182,7 +192,7 @@ def _all_windows(left: F.Column, right: F.Column) -> F.Column:
 
 def masks(found: DataFrame) -> DataFrame:
     """``string, mask`` of the strings with a repeated window."""
-    strings = found.groupBy("string").agg(*(F.first(c).alias(c) for c in ("core", "left", "right")), F.count("*").alias("n"))
+    strings = found.groupBy("string").agg(*(F.first(c).alias(c) for c in ("core", "left", "right")), F.sum(F.size("at")).alias("n"))
     strings = strings.withColumn("own", F.when(F.col("n") > 1, _all_windows(F.col("left"), F.col("right"))).otherwise(F.lit(0)))
     strings = stage(strings.drop("n"), "strings")
     others = strings.groupBy("core").agg(F.count("*").alias("others")).where("others > 1")
@@ -217,7 +227,8 @@ def _cut(text: pd.Series, at: pd.Series, mask: pd.Series) -> pd.DataFrame:
             return 0, 0, None
         raw = np.frombuffer(t.encode(), np.uint8)
         change = np.zeros(len(raw) + 1, np.int64)
-        places, marks = np.asarray(places, np.int64), np.asarray(marks, np.int64)
+        marks = np.repeat(np.asarray(marks, np.int64), [len(p) for p in places])
+        places = np.concatenate([np.asarray(p, np.int64) for p in places])
         for a in range(SIDE + 1):
             starts = places[(marks >> a) & 1 == 1] - a
             np.add.at(change, starts, 1)
@@ -233,7 +244,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", whole(F.col("text")).alias("text")).withColumn("node", F.md5("text"))
     found = stage(occurrences(docs), "cores")
     marked = found.select("doc_id", "node", "at", "string").join(masks(found), "string")
-    marked = marked.groupBy("doc_id", "node").agg(F.collect_set(F.struct("at", "mask")).alias("marks"))
+    marked = marked.groupBy("doc_id", "node").agg(F.collect_list(F.struct("at", "mask")).alias("marks"))
     met = join_same(docs, marked, ["doc_id", "node"], "left")
     text = F.when(F.col("marks").isNotNull(), F.col("text"))
     met = met.withColumn("cut", _cut(text, F.col("marks.at"), F.col("marks.mask")))

@@ -12,8 +12,8 @@ in the order before. After the core and ``a`` symbols of the left side, strings
 with a neighbour have their window at ``a`` repeated. Columns are read one after the other from the shard's files. Construction
 over whole documents would take as many rounds, each over all suffixes, as the longest text has bytes; over cores it takes 101.
 
-Equal strings are counted before the shuffle and enter once. A core with more than ``HOT`` different strings is not put in one
-shard: its windows are counted one by one by digest, which is exact and spreads.
+Equal strings are counted before the shuffle and enter once a batch. A core that occurs more than ``HOT`` times is not put in
+one shard: its windows are counted one by one by digest, which is exact and spreads.
 
 Nulls and odd input: a null text has no bytes; repeated rows are documents of their own, so they repeat each other; ids may repeat
 or be null; texts under 200 bytes stay whole. ``kept`` is bytes, as a cut may fall inside a character.
@@ -22,6 +22,7 @@ Other columns are ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +42,7 @@ LENGTH = 200
 CORE = 150
 SIDE = LENGTH - CORE
 MAX_BITS = 30
-SHARD = 30_000
+SHARD_BYTES = 3_000_000  # of text a shard stands for
 HOT = 60_000
 _END = 256  # the symbol beyond a text: equal to nothing
 
@@ -139,82 +140,136 @@ def _hashes(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(each, "hashes array<bigint>")
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """The cores that may repeat: ``core``, its sides and ``string``, the digest of all three, with ``doc_id``, ``node`` and the
-    places ``at``. A row holds all places of a string in a text, so monotonous texts give few rows."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(MAX_BITS, max(16, int(size / 6).bit_length()))
-    held = docs.sparkSession.sparkContext.broadcast(twice_seen(_hashes(docs), bits))
-    id_type = dict(docs.dtypes)["doc_id"]
+class _Suspects:
+    """The three scans over texts: each finds the cores that the filter passes."""
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = packed.raw_bytes(batch.column(2))
-            rows: list[tuple] = []
+    def __init__(self, docs: DataFrame) -> None:
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        self.docs, self.bits = docs, min(MAX_BITS, max(16, int(size / 6).bit_length()))
+        self.held = docs.sparkSession.sparkContext.broadcast(twice_seen(_hashes(docs), self.bits))
+
+    def _texts(self):
+        """From a column of texts to each text's bytes with the places and hashes of its suspects."""
+        held, bits = self.held, self.bits
+
+        def each(column: pa.Array) -> Iterator[tuple[int, bytes, list[int], np.ndarray]]:
+            data, offsets = packed.raw_bytes(column)
             for i, (start, end) in enumerate(zip(offsets.tolist(), offsets[1:].tolist())):
                 at, h = cores(data[start:end])
                 hit = np.ones(len(at), bool)
                 for p in _probes(h, bits):
                     hit &= (held.value[p >> np.uint64(3)] >> (7 - (p & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
-                raw, own = data[start:end].tobytes(), {}
-                for a in at[hit].tolist():
-                    left, core, right = raw[max(0, a - SIDE) : a], raw[a : a + CORE], raw[a + CORE : a + LENGTH]
-                    string = xxhash.xxh3_128_digest(b"%d %d " % (len(left), len(right)) + left + core + right)
-                    if string in own:
-                        own[string][2].append(a)
-                    else:
-                        own[string] = (i, string, [a], xxhash.xxh3_128_digest(core), left, right)
-                rows += own.values()
-                if len(rows) > 20_000:
-                    yield table(batch, rows)
-                    rows = []
-            yield table(batch, rows)
-
-    def table(batch: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
-        of = pa.array([r[0] for r in rows], pa.int64())
-        kinds = [pa.binary(), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary()]
-        given = [pa.array([r[k + 1] for r in rows], kind) for k, kind in enumerate(kinds)]
-        columns = [batch.column(0).take(of), batch.column(1).take(of), *given]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "string", "at", "core", "left", "right"])
-
-    return docs.select("doc_id", "node", "text").mapInArrow(
-        each, f"doc_id {id_type}, node string, string binary, at array<int>, core binary, left binary, right binary"
-    )
+                if hit.any():
+                    yield i, data[start:end].tobytes(), at[hit].tolist(), h[hit]
+
+        return each
+
+    def crowded(self) -> DataFrame:
+        """``h`` of the cores that occur more than ``HOT`` times; a batch counts its own first."""
+        texts = self._texts()
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                h, n = np.unique(np.concatenate([np.empty(0, np.uint64), *(x[3] for x in texts(batch.column(0)))]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+
+        counted = self.docs.select("text").mapInArrow(count, "h bigint, n bigint")
+        return counted.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > HOT).select("h")
+
+    def strings(self) -> DataFrame:
+        """``h, core, left, right, n``: a batch's different strings and how often it has each."""
+        texts = self._texts()
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                own: dict[tuple, int] = {}
+                for _, raw, at, h in texts(batch.column(0)):
+                    for a, k in zip(at, h.view(np.int64).tolist()):
+                        key = (k, *_sides(raw, a))
+                        own[key] = own.get(key, 0) + 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k[i] for k in own], kind) for i, kind in enumerate((pa.int64(), pa.binary(), pa.binary(), pa.binary()))]
+                    + [pa.array(list(own.values()), pa.int64())],
+                    ["h", "core", "left", "right", "n"],
+                )
 
+        return self.docs.select("text").mapInArrow(cut, "h bigint, core binary, left binary, right binary, n bigint")
 
-def _all_windows(left: F.Column, right: F.Column) -> F.Column:
-    """The mask of all windows that a string has room for."""
-    lo = F.greatest(F.lit(SIDE) - F.octet_length(right), F.lit(0))
-    bits = F.sequence(lo, F.least(F.octet_length(left), F.lit(SIDE)))
-    summed = F.aggregate(bits, F.lit(0).cast("bigint"), lambda m, b: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), b)))
-    return F.when(F.octet_length(left) >= lo, summed).otherwise(F.lit(0).cast("bigint"))
+    def places(self) -> DataFrame:
+        """``doc_id, node, string, at``: a row for each string of a text, with all its places."""
+        texts = self._texts()
 
+        def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                of, strings, places = [], [], []
+                for i, raw, at, _ in texts(batch.column(2)):
+                    own: dict[bytes, list[int]] = {}
+                    for a in at:
+                        own.setdefault(digest(*_sides(raw, a)), []).append(a)
+                    of += [i] * len(own)
+                    strings += own
+                    places += own.values()
+                of = pa.array(of, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(of), batch.column(1).take(of), pa.array(strings, pa.binary()), pa.array(places, pa.list_(pa.int32()))],
+                    ["doc_id", "node", "string", "at"],
+                )
 
-def masks(found: DataFrame) -> DataFrame:
+        id_type = dict(self.docs.dtypes)["doc_id"]
+        return self.docs.select("doc_id", "node", "text").mapInArrow(find, f"doc_id {id_type}, node bigint, string binary, at array<int>")
+
+
+def _sides(raw: bytes, a: int) -> tuple[bytes, bytes, bytes]:
+    return xxhash.xxh3_128_digest(raw[a : a + CORE]), raw[max(0, a - SIDE) : a], raw[a + CORE : a + LENGTH]
+
+
+def digest(core: bytes, left: bytes, right: bytes) -> bytes:
+    """The name of a string; the core has a fixed length, so the first separator tells the sides apart."""
+    return hashlib.md5(core + b"%d " % len(left) + left + right).digest()
+
+
+def string_of(core: F.Column, left: F.Column, right: F.Column) -> F.Column:
+    """``digest`` as an expression."""
+    length = F.octet_length(left).cast("string").cast("binary")
+    return F.unhex(F.md5(F.concat(core, length, F.lit(" ").cast("binary"), left, right)))
+
+
+def _room(left: int, right: int) -> int:
+    """The mask of all windows that a string has bytes for."""
+    lo, hi = max(SIDE - right, 0), min(left, SIDE)
+    return (2 << hi) - (1 << lo) if lo <= hi else 0
+
+
+def masks(suspects: _Suspects) -> DataFrame:
     """``string, mask`` of the strings with a repeated window."""
-    strings = found.groupBy("string").agg(*(F.first(c).alias(c) for c in ("core", "left", "right")), F.sum(F.size("at")).alias("n"))
-    strings = strings.withColumn("own", F.when(F.col("n") > 1, _all_windows(F.col("left"), F.col("right"))).otherwise(F.lit(0)))
-    strings = stage(strings.drop("n"), "strings")
-    others = strings.groupBy("core").agg(F.count("*").alias("others")).where("others > 1")
-    crowded = stage(others, "crowded")
-    shards = max(1, -(-(crowded.agg(F.sum("others")).first()[0] or 0) // SHARD))
-    met = strings.join(crowded, "core")
+    crowded = stage(suspects.crowded(), "crowded")
+    strings = suspects.strings()
+    size = suspects.docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, int(size / SHARD_BYTES))
 
     def shard(group: pd.DataFrame) -> pd.DataFrame:
-        mask = repeated_windows(group["core"].tolist(), group["left"].tolist(), group["right"].tolist())
-        return pd.DataFrame({"string": group["string"], "mask": mask})
-
-    split = met.where(F.col("others") <= HOT).withColumn("shard", F.pmod(F.xxhash64("core"), F.lit(shards)))
-    sorted_ = split.select("shard", "string", "core", "left", "right").groupBy("shard").applyInPandas(shard, "string binary, mask bigint")
+        """Equal strings are joined; those that occur twice have all their windows repeated."""
+        group = group.groupby(["core", "left", "right"], sort=False, as_index=False)["n"].sum()
+        core, left, right = (group[c].tolist() for c in ("core", "left", "right"))
+        name = [digest(*x) for x in zip(core, left, right)]
+        own = np.array([_room(len(a), len(z)) if n > 1 else 0 for a, z, n in zip(left, right, group["n"])], np.int64)
+        shared = group["core"].map(group["core"].value_counts()).to_numpy() > 1
+        at = np.flatnonzero(shared)
+        own[at] |= repeated_windows([core[i] for i in at], [left[i] for i in at], [right[i] for i in at])
+        found = own != 0
+        return pd.DataFrame({"string": [x for x, f in zip(name, found) if f], "mask": own[found]})
+
+    usual = strings.join(crowded, "h", "left_anti").withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards)))
+    sorted_ = usual.select("shard", "core", "left", "right", "n").groupBy("shard").applyInPandas(shard, "string binary, mask bigint")
     # very common cores: every window's digest is counted on its own
-    hot = met.where(F.col("others") > HOT).select("string", "core", "left", "right", F.explode(F.sequence(F.lit(0), F.lit(SIDE))).alias("a"))
+    hot = strings.join(crowded, "h", "left_semi").select("*", F.explode(F.sequence(F.lit(0), F.lit(SIDE))).alias("a"))
     hot = hot.where((F.octet_length("left") >= F.col("a")) & (F.octet_length("right") >= SIDE - F.col("a")))
     window = F.concat(F.substr("left", F.octet_length("left") - F.col("a") + 1), F.col("core"), F.substr("right", F.lit(1), SIDE - F.col("a")))
-    hot = hot.select("string", "a", F.md5(window).alias("w"), F.col("core"))
-    again = hot.groupBy("core", "a", "w").agg(F.count("*").alias("n")).where("n > 1").select("core", "a", "w")
-    hot = hot.join(again, ["core", "a", "w"]).groupBy("string").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("a"))).alias("mask"))
-    own = strings.where("own <> 0").select("string", F.col("own").alias("mask"))
-    return own.unionByName(sorted_).unionByName(hot).where("mask <> 0").groupBy("string").agg(F.bit_or("mask").alias("mask"))
+    hot = hot.select(string_of(F.col("core"), F.col("left"), F.col("right")).alias("string"), "a", F.md5(window).alias("w"), "n")
+    again = hot.groupBy("a", "w").agg(F.sum("n").alias("n")).where("n > 1").select("a", "w")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("a"))
+    hot = hot.join(again, ["a", "w"]).groupBy("string").agg(F.bit_or(bit).alias("mask"))
+    return sorted_.unionByName(hot)
 
 
 _CUT = T.StructType([T.StructField("removed", T.LongType()), T.StructField("spans", T.LongType()), T.StructField("kept", T.BinaryType())])
@@ -241,9 +296,9 @@ def _cut(text: pd.Series, at: pd.Series, mask: pd.Series) -> pd.DataFrame:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` of every row; ``kept`` is the bytes that stay."""
-    docs = docs.select("doc_id", whole(F.col("text")).alias("text")).withColumn("node", F.md5("text"))
-    found = stage(occurrences(docs), "cores")
-    marked = found.select("doc_id", "node", "at", "string").join(masks(found), "string")
+    docs = docs.select("doc_id", whole(F.col("text")).alias("text")).withColumn("node", F.xxhash64("text"))
+    suspects = _Suspects(docs)
+    marked = suspects.places().join(stage(masks(suspects), "masks"), "string")
     marked = marked.groupBy("doc_id", "node").agg(F.collect_list(F.struct("at", "mask")).alias("marks"))
     met = join_same(docs, marked, ["doc_id", "node"], "left")
     text = F.when(F.col("marks").isNotNull(), F.col("text"))

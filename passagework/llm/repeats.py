@@ -12,7 +12,7 @@ in the order before. After the core and ``a`` symbols of the left side, strings
 with a neighbour have their window at ``a`` repeated. Columns are read one after the other from the shard's files. Construction
 over whole documents would take as many rounds, each over all suffixes, as the longest text has bytes; over cores it takes 101.
 
-Equal strings are counted before the shuffle and enter once a batch. A core that occurs more than ``HOT`` times is not put in
+Equal strings are counted before the shuffle and enter once for some texts in a row. A core that occurs more than ``HOT`` times is not put in
 one shard: its windows are counted one by one by digest, which is exact and spreads.
 
 Nulls and odd input: a null text has no bytes; repeated rows are documents of their own, so they repeat each other; ids may repeat
@@ -42,8 +42,9 @@ LENGTH = 200
 CORE = 150
 SIDE = LENGTH - CORE
 MAX_BITS = 30
-SHARD_BYTES = 3_000_000  # of text a shard stands for
+SHARD_BYTES = 2_000_000  # of text a shard stands for
 HOT = 60_000
+GIVEN_ROWS = 20_000  # rows a scan gives back at once
 _END = 256  # the symbol beyond a text: equal to nothing
 
 
@@ -177,7 +178,7 @@ class _Suspects:
         return counted.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > HOT).select("h")
 
     def strings(self) -> DataFrame:
-        """``h, core, left, right, n``: a batch's different strings and how often it has each."""
+        """``h, core, left, right, n``: different strings of some texts in a row and how often they have each."""
         texts = self._texts()
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,11 +188,15 @@ class _Suspects:
                     for a, k in zip(at, h.view(np.int64).tolist()):
                         key = (k, *_sides(raw, a))
                         own[key] = own.get(key, 0) + 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k[i] for k in own], kind) for i, kind in enumerate((pa.int64(), pa.binary(), pa.binary(), pa.binary()))]
-                    + [pa.array(list(own.values()), pa.int64())],
-                    ["h", "core", "left", "right", "n"],
-                )
+                    if len(own) > GIVEN_ROWS:
+                        yield rows(own)
+                        own = {}
+                yield rows(own)
+
+        def rows(own: dict[tuple, int]) -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            columns = [pa.array([k[i] for k in own], kind) for i, kind in enumerate(kinds)]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(list(own.values()), pa.int64())], ["h", "core", "left", "right", "n"])
 
         return self.docs.select("text").mapInArrow(cut, "h bigint, core binary, left binary, right binary, n bigint")
 
@@ -209,11 +214,15 @@ class _Suspects:
                     of += [i] * len(own)
                     strings += own
                     places += own.values()
-                of = pa.array(of, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(of), batch.column(1).take(of), pa.array(strings, pa.binary()), pa.array(places, pa.list_(pa.int32()))],
-                    ["doc_id", "node", "string", "at"],
-                )
+                    if len(of) > GIVEN_ROWS:
+                        yield rows(batch, of, strings, places)
+                        of, strings, places = [], [], []
+                yield rows(batch, of, strings, places)
+
+        def rows(batch: pa.RecordBatch, of: list[int], strings: list[bytes], places: list[list[int]]) -> pa.RecordBatch:
+            taken = [batch.column(c).take(pa.array(of, pa.int64())) for c in (0, 1)]
+            given = [pa.array(strings, pa.binary()), pa.array(places, pa.list_(pa.int32()))]
+            return pa.RecordBatch.from_arrays([*taken, *given], ["doc_id", "node", "string", "at"])
 
         id_type = dict(self.docs.dtypes)["doc_id"]
         return self.docs.select("doc_id", "node", "text").mapInArrow(find, f"doc_id {id_type}, node bigint, string binary, at array<int>")

@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,12 +28,13 @@ from pyspark.sql import types as T
 from passagework.llm.labelled import held_out, training_rows
 
 MODULO, REST = 5, 0
-ROWS = 8_000
+ROWS = 4_000
 MIN_DOCS = 4
 STEPS = 100
 RIDGE = 0.1
 TOXIC_WEIGHT = 2.0
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
+_MASK = (1 << 22) - 1
 _EDGE = ".,;:!?\"'()[]{}<>|#*$%&-_"
 _OUT = T.StructType(
     [
@@ -49,8 +51,8 @@ def sentences(text: str | None) -> list[set[str]]:
 
 
 def parts(word: str) -> list[str]:
-    """A word's features: itself, and its beginnings of three to six letters."""
-    return [word, *(f"{word[:n]}-" for n in range(3, min(6, len(word)) + 1))]
+    """A word's features: itself, and its beginnings of four to six letters."""
+    return [word, *(f"{word[:n]}-" for n in range(4, min(6, len(word)) + 1))]
 
 
 @dataclass
@@ -89,28 +91,38 @@ def fit(
 
     Weights stay at 0 or above: a word can speak for toxicity but not hide another's.
     """
-    bags = [[s for s in sentences(t) if s] for t in texts]
-    seen = Counter(f for bag in bags for f in {f for s in bag for w in s for f in parts(w)})
-    vocabulary = {w: i for i, w in enumerate(sorted(w for w, n in seen.items() if n >= min_docs))}
-    pairs = [(bag, y) for bag, y in zip(bags, labels) if bag]
-    if not pairs or not any(y for _, y in pairs):
+    code = lambda f: zlib.crc32(f.encode()) & _MASK
+    seen = np.zeros(_MASK + 1, np.int32)  # documents by hash of the feature: too many features to name them all
+    for text in texts:
+        seen[list({code(f) for s in sentences(text) for w in s for f in parts(w)})] += 1
+    vocabulary: dict[str, int] = {}
+    feature, per_sentence, per_doc, targets = array("i"), array("i"), array("i"), []
+    for text, label in zip(texts, labels):
+        bag = [s for s in sentences(text) if s]
+        for s in bag:
+            own = [vocabulary.setdefault(f, len(vocabulary)) for w in sorted(s) for f in parts(w) if seen[code(f)] >= min_docs]
+            feature.extend(own)
+            per_sentence.append(len(own))
+        if bag:
+            per_doc.append(len(bag))
+            targets.append(label)
+    if not any(targets):
         return Model({}, -50.0)
-    of_doc = np.repeat(np.arange(len(pairs)), [len(b) for b, _ in pairs])
-    flat = [[vocabulary[f] for w in s for f in parts(w) if f in vocabulary] for b, _ in pairs for s in b]
-    of_sentence = np.repeat(np.arange(len(flat)), [len(s) for s in flat])
-    feature = np.fromiter((i for s in flat for i in s), np.int64, len(of_sentence))
-    y = np.array([v for _, v in pairs], float)
+    feature, n_sentences, n_docs = np.array(feature, np.int32), len(per_sentence), len(per_doc)
+    of_sentence = np.repeat(np.arange(n_sentences, dtype=np.int32), per_sentence)
+    of_doc = np.repeat(np.arange(n_docs), per_doc)
+    y = np.array(targets, float)
     w = np.zeros(len(vocabulary) + 1)
-    w[-1] = np.log(max(y.mean(), 1e-6)) - np.log(len(flat) / len(pairs))
+    w[-1] = np.log(max(y.mean(), 1e-6)) - np.log(n_sentences / n_docs)
     first, second = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, steps + 1):
-        z = w[-1] + np.bincount(of_sentence, w[feature], len(flat))
+        z = w[-1] + np.bincount(of_sentence, w[feature], n_sentences)
         z = np.clip(z, -30, 30)
         p = 1 / (1 + np.exp(-z))
-        left = np.bincount(of_doc, np.logaddexp(0, z), len(pairs))
+        left = np.bincount(of_doc, np.logaddexp(0, z), n_docs)
         pull = np.where(y == 1, -toxic_weight / np.maximum(np.expm1(left), 1e-9), 1.0)
-        dz = pull[of_doc] * p / len(pairs)
-        g = np.append(np.bincount(feature, dz[of_sentence], len(vocabulary)) + ridge / len(pairs) * w[:-1], dz.sum())
+        dz = pull[of_doc] * p / n_docs
+        g = np.append(np.bincount(feature, dz[of_sentence], len(vocabulary)) + ridge / n_docs * w[:-1], dz.sum())
         first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
         w -= 0.1 * (1 - step / (steps + 1)) * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
         w[:-1] = np.maximum(w[:-1], 0)

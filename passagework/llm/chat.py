@@ -10,7 +10,7 @@ roles and texts get a backslash after their first character, and those that alre
 more, so reading back is exact. The loss mask lists the code point spans of the assistant texts.
 
 Nulls and odd input: null roles and texts are empty; events repeated exactly count once; events with equal
-``seq`` in a turn go by kind, role and text; a turn that has only deltas is their sum; null ``conv_id`` is a conversation;
+``seq`` in a turn go by kind, role and text; a turn's role is the last one named; a turn that has only deltas is their sum; null ``conv_id`` is a conversation;
 rows without ``turn`` or ``seq`` come first. Other columns are ignored. An empty log gives no conversation.
 """
 
@@ -47,11 +47,13 @@ def fold(events: DataFrame) -> DataFrame:
     live = events.withColumn("voided", voided).where("voided is null or seq > voided")
     log = F.sort_array(F.collect_list(F.struct("seq", "kind", "role", "text")))
     turns = live.groupBy("conv_id", "turn").agg(log.alias("log"))
+    named = F.filter(F.col("log.role"), lambda r: r != "")
+    role = F.coalesce(F.get(named, F.size(named) - 1), F.lit(""))
     # the position of the last event that starts the text anew; what follows is appended
     last = F.array_max(F.transform("log", lambda e, i: F.when(e["kind"].isin(RESETS), i).otherwise(F.lit(0))))
-    turns = turns.withColumn("log", let(last, lambda at: F.slice(F.col("log"), at + 1, F.size("log"))))
-    role = F.coalesce(F.get(F.filter(F.col("log.role"), lambda r: r != ""), F.lit(0)), F.lit(""))
-    return turns.select("conv_id", "turn", role.alias("role"), F.array_join("log.text", "").alias("text"))
+    tail = let(last, lambda at: F.slice(F.col("log"), at + 1, F.size("log")))
+    turns = turns.select("conv_id", "turn", role.alias("role"), tail.alias("log"))
+    return turns.select("conv_id", "turn", "role", F.array_join("log.text", "").alias("text"))
 
 
 def render(messages: DataFrame, learn: str = "assistant") -> DataFrame:

@@ -97,7 +97,7 @@ def shingles(hashes: np.ndarray, counts: np.ndarray, length: int) -> tuple[np.nd
     for j in range(length):
         there = place + j < counts[text]
         shifted = np.zeros_like(key)
-        shifted[: len(key) - j or None] = hashes[j:]
+        shifted[: max(0, len(key) - j)] = hashes[j:]
         key = np.where(there, key * factor + shifted, key * factor)
         live &= there
     live |= (place == 0) & (counts[text] < length)

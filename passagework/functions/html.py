@@ -105,14 +105,19 @@ def decode_entities(text: Column) -> Column:
     # One constant text folds to one map; hundreds of literals would slow down every planning step.
     table = [(name, chr(code)) for name, code in name2codepoint.items()] + [("apos", "'")]
     named = F.str_to_map(F.lit("\x01".join(f"{n}\x02{c}" for n, c in table)), F.lit("\x01"), F.lit("\x02"))
-    reference = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+    reference = r"^(#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);"
+
+    def significant(name: Column, start: int) -> Column:
+        """The digits without leading zeros; more than seven are no character."""
+        digits = F.ltrim(F.substr(name, F.lit(start)), F.lit("0"))
+        return F.when(F.length(digits) > 7, F.lit("0")).otherwise(F.concat(F.lit("0"), digits))
 
     def piece(part: Column) -> Column:
         def replaced(name: Column) -> Column:
             char = (
                 F.when(name == "", F.lit(None).cast("string"))
-                .when(F.lower(name).startswith("#x"), _code_point(F.conv(F.substr(name, F.lit(3)), 16, 10).cast("int")))
-                .when(name.startswith("#"), _code_point(F.substr(name, F.lit(2)).try_cast("int")))
+                .when(F.lower(name).startswith("#x"), _code_point(F.conv(significant(name, 3), 16, 10).cast("int")))
+                .when(name.startswith("#"), _code_point(significant(name, 2).try_cast("int")))
                 .otherwise(F.try_element_at(named, name))
             )
             rest = F.substr(part, F.length(name) + F.lit(2))

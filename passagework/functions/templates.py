@@ -14,27 +14,6 @@ from pyspark.sql import functions as F
 
 _PLACEHOLDER = re.compile(r"\{\{|\}\}|\{([A-Za-z_][A-Za-z0-9_]*)\}|[{}]")
 
-# Default wordings. They are parameters: any text with the same placeholders can be passed instead.
-SUPPORT = (
-    "You are a support engineer who answers questions about data jobs. Be prescriptive and cite the "
-    'documentation you rely on.\nUser question: "{question}"\n'
-)
-ZERO_SHOT = "Describe the sentiment of the text:\n[Text]: {input_string}\n"
-FEW_SHOT = "Describe the sentiment of each text:\n{examples}\n###\n[Text]: {input_string}\n[Sentiment]:\n"
-STEP_BY_STEP = (
-    "Answer the following question, and walk through your reasoning step by step to arrive at the answer:\n\n"
-    "{input_string}\n"
-)
-ABSTAIN = (
-    "Answer the following question only if you have enough information to be confident. Otherwise reply "
-    "'I don't have enough information to answer that.'\n\nQuestion:\n{input_string}\n"
-)
-CONTEXT_QA = (
-    "Use only the following paragraphs to answer the question at the end, in complete sentences, with the "
-    "address of the source. If the paragraphs hold no information on it, say that you do not know.\n"
-    "{context}\n\nQuestion: {question}\n\nResponse:\n"
-)
-
 
 def cut(template: str) -> list[tuple[str, str]]:
     """Pieces of a template as ``("text", s)`` or ``("name", s)``; doubled braces are literal ones."""

@@ -6,7 +6,9 @@ the JVM, and only when the recursive splitter is asked for.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Callable
+from itertools import pairwise
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -128,14 +130,16 @@ def split_with_tokenizer(
             if texts is None:
                 out.append(None)
                 continue
-            merged, buffer = [], ""
-            for text in texts:
-                if count(buffer + text) <= max_tokens / 2:
-                    buffer += text + "\n"
-                else:
-                    merged.append(buffer)
-                    buffer = text + "\n"
-            merged.append(buffer)
+            texts = [t for t in texts if t is not None]
+            bounds = [0]
+            while bounds[-1] < len(texts):
+                start = bounds[-1]
+                # how many sections from here fit together: counts grow with the end, so halving finds it
+                fit = bisect_right(
+                    range(start + 1, len(texts) + 1), max_tokens / 2, key=lambda end: count("\n".join(texts[start:end]))
+                )
+                bounds.append(start + max(1, fit))
+            merged = ["\n".join(texts[a:z]) for a, z in pairwise(bounds)]
             parts = [
                 c
                 for m in merged

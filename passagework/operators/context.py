@@ -28,11 +28,19 @@ def in_rank_order(rank: str, *columns: str) -> Column:
     return F.array_sort(F.collect_list(F.struct(rank, *columns)))
 
 
-def stuff(hits: DataFrame, question_id: str, content: str = "content", rank: str = "rk") -> DataFrame:
-    """One context per question: its hits' contents in rank order, a blank line between two."""
+def stuff(
+    hits: DataFrame, question_id: str, content: str = "content", rank: str = "rk", questions: DataFrame | None = None
+) -> DataFrame:
+    """One context per question: its hits' contents in rank order, a blank line between two.
+
+    With ``questions`` (their ids) each of them has its row, an empty context if it has no hit.
+    """
     ordered = in_rank_order(rank, content)
     context = F.array_join(F.transform(ordered, lambda d: d[content]), JOINER)
-    return hits.groupBy(question_id).agg(context.alias("context"), F.count(F.lit(1)).alias("n_docs"))
+    stuffed = hits.groupBy(question_id).agg(context.alias("context"), F.count(F.lit(1)).alias("n_docs"))
+    if questions is None:
+        return stuffed
+    return questions.select(question_id).join(stuffed, question_id, "left").fillna({"context": "", "n_docs": 0})
 
 
 def example_block(examples: DataFrame, order: list[str], n: int, text: str, label: str) -> Column:
@@ -45,9 +53,9 @@ def example_block(examples: DataFrame, order: list[str], n: int, text: str, labe
     entry = F.struct(*keys, F.col(text).alias("t"), F.col(label).alias("l"))
     lines = F.transform(
         F.array_sort(F.collect_list(entry)),
-        lambda e: F.concat(F.lit('[Text]: "'), e["t"], F.lit('"\n[Sentiment]: '), e["l"].cast("string")),
+        lambda e: F.concat(F.lit("- "), e["l"].cast("string"), F.lit(": "), e["t"]),
     )
-    return first.agg(F.array_join(lines, "\n###\n").alias("examples")).scalar()
+    return first.agg(F.array_join(lines, "\n").alias("examples")).scalar()
 
 
 def report(question: Column, answer: Column, references: Column) -> Column:

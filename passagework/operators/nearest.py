@@ -153,6 +153,8 @@ class _Best:
         self.questions, self.k, self.metric = questions, k, metric
         size = len(questions.squares)
         self.floor = np.full(size, -np.inf)
+        # a vector with a null, NaN or infinite element has no score with anything
+        self.live = np.flatnonzero(np.isfinite(questions.squares))
         self.kept: list[tuple | None] = [None] * size
 
     def _scores(self, block, corpus) -> np.ndarray:
@@ -166,14 +168,17 @@ class _Best:
         return -np.sqrt(square) if self.metric == "l2" else 1.0 - square / math.sqrt(2.0)
 
     def add(self, ids: np.ndarray, corpus) -> None:
+        usable = np.isfinite(corpus.squares)
         if self.metric == "cosine":
-            keep = np.flatnonzero(corpus.squares > 0)
+            usable &= corpus.squares > 0
+        if not usable.all():
+            keep = np.flatnonzero(usable)
             ids, corpus = ids[keep], corpus.take(keep)
         if not len(ids):
             return
         step = max(1, CELL_SCORES // len(ids))
-        for begin in range(0, len(self.kept), step):
-            index = np.arange(begin, min(begin + step, len(self.kept)))
+        for begin in range(0, len(self.live), step):
+            index = self.live[begin : begin + step]
             self._add_block(index, self.questions.take(index), ids, corpus)
 
     def _add_block(self, index: np.ndarray, block, ids: np.ndarray, corpus) -> None:

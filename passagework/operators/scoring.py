@@ -98,7 +98,8 @@ def extractive_summary(df: DataFrame, key: str, text_col: str, out: str = "model
 
     A sentence scores the sum of its tokens' counts in the whole text; the earliest of the best wins.
     The texts are spread by key once, before they grow, and every later step works within that
-    placement. ``key`` must be unique. Returns ``key, out, summary_score`` for texts with a token.
+    placement. ``key`` must be unique. Returns ``key, out, summary_score`` for every text; both are
+    null where a text has no token.
     """
     placed = df.select(key, F.col(text_col).alias("__text")).repartition(key)
     split = explode_present(placed, [key], sentences(F.col("__text")), "__pos", "__sentence")
@@ -108,7 +109,7 @@ def extractive_summary(df: DataFrame, key: str, text_col: str, out: str = "model
     best = top_k(scored, [key], [F.col("summary_score").desc(), F.col("__pos").asc()], 1, rank="__rk")
     # Joined by key alone, both sides keep the placement made above.
     sentence = F.get(sentences(F.col("__text")), F.col("__pos"))
-    return best.join(placed, key).select(key, sentence.alias(out), "summary_score")
+    return placed.join(best, key, "left").select(key, sentence.alias(out), "summary_score")
 
 
 def best_sentence(context: Column, question: Column) -> Column:
@@ -141,12 +142,21 @@ def vote(hits: DataFrame, labels: DataFrame, question_id: str, corpus_id: str, l
     return top_k(counted, [question_id], [F.col("votes").desc(), F.col(label).asc()], 1, rank="__rk").drop("__rk")
 
 
-def abstain(hits: DataFrame, question_id: str, score: str, threshold: float, answer: Column, fallback: str) -> DataFrame:
-    """Each question's best score, and ``answer`` (an aggregate) only if that reaches ``threshold``."""
+def abstain(
+    hits: DataFrame, question_id: str, score: str, threshold: float, answer: Column, fallback: str,
+    questions: DataFrame | None = None,
+) -> DataFrame:
+    """Each question's best score, and ``answer`` (an aggregate) only if that reaches ``threshold``.
+
+    With ``questions`` (their ids) one without hits has its row too: no score and the fallback.
+    """
     best = F.max(score)
-    return hits.groupBy(question_id).agg(
+    gated = hits.groupBy(question_id).agg(
         best.alias("best_score"), F.when(best >= threshold, answer).otherwise(F.lit(fallback)).alias("response")
     )
+    if questions is None:
+        return gated
+    return questions.select(question_id).join(gated, question_id, "left").fillna({"response": fallback})
 
 
 def lead_scorer(n: int) -> Scorer:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from passagework.functions.templates import CONTEXT_QA, render
+from passagework.functions.templates import render
 from passagework.operators.context import JOINER, in_rank_order
 from passagework.operators.retrieval import Index, retrieve_chunks
 from passagework.operators.scoring import Scorer, batch_score, best_sentence
@@ -15,22 +15,28 @@ def answer(
     questions: DataFrame,
     index: Index,
     source: str,
+    template: str,
     k: int = 2,
-    template: str = CONTEXT_QA,
     scorer: Scorer | None = None,
     question_id: str = "qid",
     text: str = "question",
+    min_score: float | None = None,
+    fallback: str = "I do not know.",
 ) -> DataFrame:
-    """``question_id, question, prompt, output_text, input_documents`` per question with a hit.
+    """``question_id, question, prompt, output_text, input_documents`` of every question.
 
     ``scorer`` maps prompts to answers. Without one the answer is the context's best matching
-    sentence, an offline stand-in. ``input_documents`` are structs ``rk, content, source``, best first.
+    sentence, an offline stand-in. A question without a hit (of ``min_score`` at least, if given) has the
+    answer ``fallback``, an empty context and no documents; so has one whose context has no sentence. ``input_documents`` are structs ``rk, content, source``, best first.
     """
     hits = retrieve_chunks(questions, index, ["content", source], k, question_id, text)
     hits = hits.withColumn("source", F.col(source).cast("string"))
-    grouped = hits.groupBy(question_id, F.col(text).alias("question")).agg(
-        in_rank_order("rk", "content", "source").alias("input_documents")
-    )
+    if min_score is not None:
+        hits = hits.where(F.col("score") >= min_score)
+    grouped = hits.groupBy(question_id).agg(in_rank_order("rk", "content", "source").alias("input_documents"))
+    none = F.array().cast(dict(grouped.dtypes)["input_documents"])
+    asked = questions.select(question_id, F.col(text).alias("question"))
+    grouped = asked.join(grouped, question_id, "left").withColumn("input_documents", F.coalesce("input_documents", none))
     context = F.array_join(F.transform("input_documents", lambda d: d["content"]), JOINER)
     stuffed = grouped.withColumn("__context", context)
     prompted = stuffed.withColumn(
@@ -40,4 +46,6 @@ def answer(
         answered = prompted.withColumn("output_text", best_sentence(F.col("__context"), F.col("question")))
     else:
         answered = batch_score(prompted, scorer, ["prompt"], "output_text")
+    found = F.when(F.array_size("input_documents") > 0, F.col("output_text"))
+    answered = answered.withColumn("output_text", F.coalesce(found, F.lit(fallback)))
     return answered.select(question_id, "question", "prompt", "output_text", "input_documents")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from passagework.catalog import drop_table, overwrite_table
 from passagework.functions import html as H
 from passagework.functions import templates as P
+from passagework.plans import prompts
 from passagework.functions import text as X
 from passagework.operators import chunking as C
 from passagework.operators import context as K
@@ -255,7 +256,10 @@ def knn_label_vote(spark: SparkSession, sf: str) -> DataFrame:
 def abstain_gate(spark: SparkSession, sf: str) -> DataFrame:
     labels = _plain(spark, sf, "embeddings").select("vec_id", F.col("label").cast("string").alias("label"))
     hits = _neighbours(spark, sf, 3, skip_same_id=True).join(labels, "vec_id")
-    return S.abstain(hits, "qid", "score", 0.4, F.min_by("label", "rk"), "I do not know.")
+    return S.abstain(
+        hits, "qid", "score", 0.4, F.min_by("label", "rk"), "I do not know.",
+        questions=_plain(spark, sf, "embeddings").select(F.col("vec_id").alias("qid")),
+    )
 
 
 # --- retrieval and answers ---------------------------------------------------------------------------
@@ -299,24 +303,24 @@ def retrieve_passages(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def stuff_context(spark: SparkSession, sf: str) -> DataFrame:
     hits = R.retrieve_chunks(_questions(spark, sf), _index(spark, sf), ["content"], 2)
-    return K.stuff(hits, "qid")
+    return K.stuff(hits, "qid", questions=_questions(spark, sf).select("qid"))
 
 
 @_query
 def rag_prompt(spark: SparkSession, sf: str) -> DataFrame:
-    return answer(_questions(spark, sf), _index(spark, sf), "doc_id").select("qid", "prompt")
+    return answer(_questions(spark, sf), _index(spark, sf), "doc_id", prompts.FROM_PASSAGES).select("qid", "prompt")
 
 
 @_query
 def retrieval_qa(spark: SparkSession, sf: str) -> DataFrame:
-    answered = answer(_questions(spark, sf), _index(spark, sf), "doc_id")
+    answered = answer(_questions(spark, sf), _index(spark, sf), "doc_id", prompts.FROM_PASSAGES)
     sources = F.array_join(F.transform("input_documents", lambda d: d["source"]), ",")
     return answered.select("qid", "question", "output_text", sources.alias("sources"))
 
 
 @_query
 def answer_report(spark: SparkSession, sf: str) -> DataFrame:
-    answered = answer(_questions(spark, sf), _index(spark, sf), "doc_id")
+    answered = answer(_questions(spark, sf), _index(spark, sf), "doc_id", prompts.FROM_PASSAGES)
     page = K.report(F.col("question"), F.col("output_text"), F.col("input_documents"))
     return answered.select("qid", page.alias("report"))
 
@@ -335,22 +339,22 @@ def _prompts(spark: SparkSession, sf: str, template: str, name: str) -> DataFram
 
 @_query
 def prompt_support(spark: SparkSession, sf: str) -> DataFrame:
-    return _prompts(spark, sf, P.SUPPORT, "question")
+    return _prompts(spark, sf, prompts.HELP_DESK, "question")
 
 
 @_query
 def prompt_zero_shot(spark: SparkSession, sf: str) -> DataFrame:
-    return _prompts(spark, sf, P.ZERO_SHOT, "input_string")
+    return _prompts(spark, sf, prompts.RATE_TONE, "input_string")
 
 
 @_query
 def prompt_steps(spark: SparkSession, sf: str) -> DataFrame:
-    return _prompts(spark, sf, P.STEP_BY_STEP, "input_string")
+    return _prompts(spark, sf, prompts.SHOW_WORK, "input_string")
 
 
 @_query
 def prompt_abstain(spark: SparkSession, sf: str) -> DataFrame:
-    return _prompts(spark, sf, P.ABSTAIN, "input_string")
+    return _prompts(spark, sf, prompts.SURE_ONLY, "input_string")
 
 
 @_query
@@ -363,7 +367,7 @@ def prompt_few_shot(spark: SparkSession, sf: str) -> DataFrame:
     chosen = first_n(documents.select("doc_id", "n_chars").join(labels, "doc_id"), 3, "n_chars", "doc_id")
     pool = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     examples = K.example_block(pool, ["n_chars", "doc_id"], 3, "text", "label")
-    prompt = P.render(P.FEW_SHOT, {"examples": examples, "input_string": F.col("text")})
+    prompt = P.render(prompts.RATE_TONE_LIKE, {"examples": examples, "input_string": F.col("text")})
     return _user_turns(spark, sf).select("conv_id", "turn", prompt.alias("prompt"))
 
 
@@ -387,7 +391,7 @@ def score_compare(spark: SparkSession, sf: str) -> DataFrame:
 def prompt_and_score(spark: SparkSession, sf: str) -> DataFrame:
     """Template and scorer in one step over every user turn."""
     scored = S.prompt_and_score(
-        _user_turns(spark, sf), P.ZERO_SHOT, S.lead_scorer(12), {"input_string": F.col("text")}, "response"
+        _user_turns(spark, sf), prompts.RATE_TONE, S.lead_scorer(12), {"input_string": F.col("text")}, "response"
     )
     return scored.select("conv_id", "turn", "response")
 

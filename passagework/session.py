@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,7 +39,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_KEY, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
     key = "spark.passagework.localScratch"
     root = spark.conf.get(key, None)

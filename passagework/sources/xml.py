@@ -24,6 +24,8 @@ def read_xml_rows(
     nulls for the element.
     """
     reader = spark.read.format("xml").option("rowTag", tag).option("inferSchema", "false")
+    # attribute values as they stand, and no column for text between the tags
+    reader = reader.option("ignoreSurroundingSpaces", "false").option("valueTag", "inner")
     reader = reader.option("columnNameOfCorruptRecord", _BAD)
     if by_line:
         reader = reader.option("multiLine", "false")

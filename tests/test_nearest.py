@@ -168,3 +168,14 @@ def test_latest(spark):
     df = spark.createDataFrame(rows, "k string, t int, id int")
     assert sorted(tuple(r) for r in latest_per_key(df, ["k"], "t", ["id"]).collect()) == [("a", 2, 3), ("b", 0, 5)]
     assert tuple(latest(df, "t", ["id"]).first()) == ("a", 2, 3)
+
+
+@pytest.mark.parametrize("way", ["scan", "grid"])
+@pytest.mark.parametrize("metric", ["cosine", "l2", "relevance"])
+def test_vectors_without_a_score_erase_nothing(spark, metric, way):
+    bad = [(10, [None, 1.0]), (11, [float("nan"), 0.0]), (12, [float("inf"), 1.0])]
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 1.0]), *bad]
+    corpus = spark.createDataFrame(rows, "vec_id int, embedding array<double>").coalesce(1)
+    questions = spark.createDataFrame([(1, [1.0, 0.1]), (2, [float("nan"), 1.0])], "qid int, embedding array<double>")
+    out = N.nearest(corpus, questions, 2, metric, corpus_id="vec_id", question_id="qid", way=way).collect()
+    assert sorted((r.qid, r.vec_id) for r in out) == [(1, 1), (1, 2)]

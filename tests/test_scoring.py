@@ -66,7 +66,9 @@ def test_prompt_and_score(spark):
 def test_summary(spark):
     rows = [(1, "One two. two three three!\nFour."), (2, "..."), (3, None), (4, "A. B.")]
     out = S.extractive_summary(spark.createDataFrame(rows, "id int, t string"), "id", "t")
-    assert sorted(map(tuple, out.collect())) == [(1, "two three three!", 6), (4, "A.", 1)]
+    assert sorted(map(tuple, out.collect())) == [
+        (1, "two three three!", 6), (2, None, None), (3, None, None), (4, "A.", 1),
+    ]
 
 
 def test_best_sentence(spark):
@@ -162,7 +164,7 @@ def test_known_passages_are_found(spark):
 def test_answers_with_a_scorer(spark, sf):
     index, questions = registry._index(spark, sf), registry._questions(spark, sf)
     length = S.Scorer("length", lambda: lambda prompts: [str(len(p)) for p in prompts])
-    rows = answer(questions, index, "doc_id", k=2, scorer=length).collect()
+    rows = answer(questions, index, "doc_id", "{context}|{question}", k=2, scorer=length).collect()
     assert len(rows) == questions.count()
     for r in rows:
         assert r.output_text == str(len(r.prompt))

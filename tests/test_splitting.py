@@ -127,14 +127,12 @@ def test_complete_chunker_in_spark(spark, sf):
         sections.setdefault(row.page_id, []).append(row.text)
     wanted = {}
     for page, texts in sections.items():
-        merged, buffer = [], ""
+        # each text starts a new group unless the group with it stays within half the limit
+        groups: list[list[str]] = []
         for text in texts:
-            if count(buffer + text) <= 200:
-                buffer += text + "\n"
-            else:
-                merged.append(buffer)
-                buffer = text + "\n"
-        merged.append(buffer)
+            joined = bool(groups) and count("\n".join([*groups[-1], text])) <= 200
+            groups[-1:] = [[*groups[-1], text]] if joined else [*groups[-1:], [text]]
+        merged = ["\n".join(g) for g in groups]
         chunks = [c for m in merged for c in by_specification(m.strip(), 400, 50)]
         wanted[page] = [c for c in chunks if count(c) > 20]
     found = {}

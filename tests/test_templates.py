@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from passagework.functions import templates as P
+from passagework.plans import prompts
 from passagework.functions import text as X
 from passagework.operators import context as K
 
@@ -41,10 +42,10 @@ def test_bad_templates(template, values, declared):
 
 
 def test_default_wordings():
-    assert P.placeholders(P.CONTEXT_QA) == ["context", "question"]
-    assert P.placeholders(P.FEW_SHOT) == ["examples", "input_string"]
-    assert P.placeholders(P.SUPPORT) == ["question"]
-    for template in (P.ZERO_SHOT, P.STEP_BY_STEP, P.ABSTAIN):
+    assert P.placeholders(prompts.FROM_PASSAGES) == ["context", "question"]
+    assert P.placeholders(prompts.RATE_TONE_LIKE) == ["examples", "input_string"]
+    assert P.placeholders(prompts.HELP_DESK) == ["question"]
+    for template in (prompts.RATE_TONE, prompts.SHOW_WORK, prompts.SURE_ONLY):
         assert P.placeholders(template) == ["input_string"]
 
 
@@ -53,10 +54,7 @@ def test_examples_keep_their_order(spark):
     pool = spark.createDataFrame(rows, "id int, t string, l string").repartition(4)
     block = K.example_block(pool, ["id"], 3, "t", "l")
     out = spark.range(1).select(P.render("{examples}|{q}", {"examples": block, "q": F.lit("?")})).first()[0]
-    assert out == (
-        '[Text]: "a {x}"\n[Sentiment]: Negative\n###\n[Text]: "b"\n[Sentiment]: Positive\n###\n'
-        '[Text]: "c"\n[Sentiment]: Neutral|?'
-    )
+    assert out == "- Negative: a {x}\n- Positive: b\n- Neutral: c|?"
 
 
 def test_stuffing_follows_ranks(spark):

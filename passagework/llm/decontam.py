@@ -1,8 +1,8 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact verification.
 
 Words are runs of letters and digits in lower case; shingles are five words (an item of fewer words is one shingle).
-A document that holds an item shares a shingle with it, and the places of the two tell where the item would begin: that
-window, as long as the item, gets a 64-bit SimHash over its shingles, each weighing as often as it occurs. Fingerprints
+A document that holds an item shares a shingle with it, and the places of the shared ones tell which windows, as long as the
+item, may be its best (``starts``). Each gets a 64-bit SimHash over its shingles, each weighing as often as it occurs. Fingerprints
 are cut into ``RADIUS + 1`` blocks; two within the radius agree on one block at least, so the block index finds all of
 them. The radius lies five standard deviations above the distance expected at the threshold. Pairs within it are verified by the exact weighted
 similarity of the shingles, sum of minima over sum of maxima.
@@ -75,6 +75,17 @@ def weighted_similarity(a: Column, b: Column) -> Column:
     return let(shared, lambda s: s / (F.size(a) + F.size(b) - s))
 
 
+def starts(aligned: Column, at: Column, n: Column) -> Column:
+    """Where windows of ``n`` shingles may be best: as the item lies, from the start of a run of its shingles, or up to the end of one.
+
+    A window that ends on a foreign shingle, or before one more of the item's, is none the worse moved; one cut short by the
+    text's end likewise starts with a run.
+    """
+    ends = F.filter(at, lambda x, k: F.coalesce(F.get(at, k + 1) != x + 1, F.lit(True)))
+    begins = F.filter(at, lambda x, k: F.coalesce(F.get(at, k - 1) != x - 1, F.lit(True)))
+    return F.array_union(aligned, F.array_union(begins, F.transform(ends, lambda x: x - n + 1)))
+
+
 def _items(benchmark: DataFrame) -> DataFrame:
     w = compute_once(benchmark.where("item_id is not null"), ["item_id"], w=tokens(F.col("text")))
     w = w.where(F.size("w") > 0).withColumn("length", F.least(F.size("w"), F.lit(SHINGLE)))
@@ -98,17 +109,22 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     for length in lengths:
         own = cut.select("doc_id", F.posexplode(shingles(F.col("w"), length)).alias("i", "h"))
         hit = own.join(held(places.where(F.col("length") == length)), "h")
-        hit = hit.select("doc_id", "item_id", "length", "n", (F.col("i") - F.col("j")).alias("start")).distinct()
+        hit = hit.select("doc_id", "item_id", "length", "n", "i", (F.col("i") - F.col("j")).alias("start"))
         windows = hit if windows is None else windows.unionByName(hit)
     schema = f"doc_id {dict(docs.dtypes)['doc_id']}, item_id {dict(benchmark.dtypes)['item_id']}, similarity double, start int"
     if windows is None:
         return docs.sparkSession.createDataFrame([], schema)
-    asked = windows.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "length", "n", "start")).alias("asked"))
+    windows = windows.groupBy("doc_id", "item_id", "length", "n").agg(
+        F.collect_set("start").alias("aligned"), F.sort_array(F.collect_set("i")).alias("at")
+    )
+    windows = windows.select("doc_id", "item_id", "length", "n", starts(F.col("aligned"), F.col("at"), F.col("n")).alias("starts"))
+    asked = windows.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "length", "n", "starts")).alias("asked"))
     asked = stage(asked, "windows")
     met = join_same(docs, asked, ["doc_id"], "inner")
     met = compute_once(met, ["doc_id", "asked"], w=tokens(F.col("text")))
     made = F.array(*(F.when(F.array_contains(F.col("asked.length"), n), shingles(F.col("w"), n)) for n in range(1, SHINGLE + 1)))
     met = compute_once(met, ["doc_id", "asked"], hs=made).select("doc_id", "hs", F.inline("asked"))
+    met = met.select("doc_id", "hs", "item_id", "length", "n", F.explode("starts").alias("start"))
     first = F.greatest(F.col("start"), F.lit(0))
     own = F.slice(F.get(F.col("hs"), F.col("length") - 1), first + 1, F.greatest(F.col("start") + F.col("n") - first, F.lit(0)))
     window = compute_once(met, ["doc_id", "item_id", "start"], own=own).where(F.size("own") > 0)

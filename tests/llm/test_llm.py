@@ -320,6 +320,24 @@ def test_decontamination_equals_brute_force(spark, odd, empty):
     assert decontam.decontaminate(odd, b).count() == len(ODD)
 
 
+def test_decontamination_of_edited_items_equals_brute_force(spark):
+    rng = np.random.default_rng(11)
+    fresh = lambda n: [f"w{x}" for x in rng.integers(0, 5000, n)]
+    items = [(k, fresh(int(rng.integers(12, 90)))) for k in range(30)]
+    docs = []
+    for i in range(600):
+        w = list(items[i % 30][1])
+        w = w[int(rng.integers(0, 4)) : len(w) - int(rng.integers(0, 4))]
+        for _ in range(int(rng.integers(0, 3))):
+            at = int(rng.integers(0, len(w)))
+            w[at : at + int(rng.integers(0, 2))] = fresh(int(rng.integers(0, 6)))
+        docs.append((i, " ".join(fresh(int(rng.integers(0, 30))) + w + fresh(int(rng.integers(0, 30))))))
+    items = [(k, " ".join(q)) for k, q in items]
+    d, b = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    found, wanted = {(r.doc_id, r.item_id) for r in decontam.matches(d, b).collect()}, brute_matches(docs, items)
+    assert len(wanted) > 150 and found == wanted
+
+
 def test_blocks_find_all_within_the_radius(spark):
     rng = np.random.default_rng(5)
     a = int(rng.integers(-(2**63), 2**63))

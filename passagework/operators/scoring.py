@@ -8,14 +8,14 @@ from dataclasses import dataclass
 from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passagework.functions.templates import render
 from passagework.functions.text import bind, sentences, tokens
 from passagework.operators.ranking import top_k
-from passagework.operators.rows import explode_present
+from passagework.operators.rows import compute_once
 
 
 @dataclass(frozen=True)
@@ -97,19 +97,51 @@ def extractive_summary(df: DataFrame, key: str, text_col: str, out: str = "model
     """One sentence per text as its summary; a stand-in for a summarisation model.
 
     A sentence scores the sum of its tokens' counts in the whole text; the earliest of the best wins.
-    The texts are spread by key once, before they grow, and every later step works within that
-    placement. ``key`` must be unique. Returns ``key, out, summary_score`` for every text; both are
-    null where a text has no token.
+    All of it happens inside the row, so nothing is shuffled and ``key`` may repeat. Returns ``key, out,
+    summary_score`` for every row; both are null where a text has no token.
     """
-    placed = df.select(key, F.col(text_col).alias("__text")).repartition(key)
-    split = explode_present(placed, [key], sentences(F.col("__text")), "__pos", "__sentence")
-    words = split.select(key, "__pos", F.explode_outer(tokens(F.col("__sentence"))).alias("__word"))
-    in_text = F.count(F.lit(1)).over(Window.partitionBy(key, "__word"))
-    scored = words.withColumn("__tf", in_text).groupBy(key, "__pos").agg(F.sum("__tf").alias("summary_score"))
-    best = top_k(scored, [key], [F.col("summary_score").desc(), F.col("__pos").asc()], 1, rank="__rk")
-    # Joined by key alone, both sides keep the placement made above.
-    sentence = F.get(sentences(F.col("__text")), F.col("__pos"))
-    return placed.join(best, key, "left").select(key, sentence.alias(out), "summary_score")
+    scored = compute_once(df, [key, text_col], __best=_best_by_counts(F.col(text_col)))
+    sentence = F.get(sentences(F.col(text_col)), F.col("__best.pos"))
+    return scored.select(key, sentence.alias(out), F.col("__best.score").alias("summary_score"))
+
+
+def _runs(sorted_: Column, field: str, use: Callable[[Column], Column]) -> Column:
+    """``use`` of each run of structs that agree in ``field``, in order; the array is sorted and not empty."""
+
+    def starts(x: Column) -> Column:
+        places = F.sequence(F.lit(0), F.array_size(x) - 1)
+        return F.filter(places, lambda k: F.coalesce(F.get(x, k)[field] != F.get(x, k - 1)[field], F.lit(True)))
+
+    def cut(x: Column) -> Column:
+        def each(at: Column) -> Column:
+            end = lambda r: F.coalesce(F.get(at, r + 1), F.array_size(x))
+            return F.transform(at, lambda k, r: bind(F.slice(x, k + 1, end(r) - k), use))
+
+        return bind(starts(x), each)
+
+    return bind(sorted_, cut)
+
+
+def _best_by_counts(text: Column) -> Column:
+    """``score, pos`` of the sentence whose tokens occur most often in the text; null without a token."""
+
+    def placed(sentence: Column, pos: Column) -> Column:
+        return F.transform(tokens(sentence), lambda w: F.struct(w.alias("word"), pos.alias("pos")))
+
+    def counted(run: Column) -> Column:
+        n = F.array_size(run).cast("bigint")
+        return F.transform(run, lambda x: F.struct(x["pos"].alias("pos"), n.alias("n")))
+
+    def total(run: Column) -> Column:
+        score = F.aggregate(run, F.lit(0).cast("bigint"), lambda acc, x: acc + x["n"])
+        pos = F.get(run, F.lit(0))["pos"]
+        return F.struct(score.alias("score"), (-pos).alias("order"), pos.alias("pos"))
+
+    def best(words: Column) -> Column:
+        by_sentence = F.sort_array(F.flatten(_runs(F.sort_array(words), "word", counted)))
+        return F.when(F.array_size(words) > 0, F.array_max(_runs(by_sentence, "pos", total)))
+
+    return bind(F.flatten(F.transform(sentences(text), placed)), best)
 
 
 def best_sentence(context: Column, question: Column) -> Column:

@@ -373,18 +373,17 @@ def prompt_few_shot(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def extractive_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return S.extractive_summary(_plain(spark, sf, "documents"), "doc_id", "text")
+    return S.extractive_summary(_spread(spark, sf, "documents"), "doc_id", "text")
 
 
 @_query
 def score_compare(spark: SparkSession, sf: str) -> DataFrame:
     """Documents beside a scorer's output and their gold label."""
     docs = _spread(spark, sf, "documents").select("doc_id", "text")
-    scored = S.batch_score(docs, S.lead_scorer(12), ["text"], "summary_text").drop("text")
+    scored = S.batch_score(docs, S.lead_scorer(12), ["text"], "summary_text")
     scored = S.rename_column(scored, "summary_text", "model_summary")
-    joined = S.join_scores(docs, scored, "doc_id")
     gold = _plain(spark, sf, "labels").select("doc_id", F.col("quality").cast("string").alias("gold"))
-    return S.join_scores(joined, gold, "doc_id").select("doc_id", "text", "model_summary", "gold")
+    return S.join_scores(scored, gold, "doc_id").select("doc_id", "text", "model_summary", "gold")
 
 
 @_query

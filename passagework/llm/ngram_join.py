@@ -50,7 +50,8 @@ def classes_for(percent: int) -> int:
 
 
 def signatures(keys: np.ndarray, held_by: np.ndarray, n: int, percent: int) -> list[tuple[int, int]]:
-    """Index entries of one set: the hash and the number of shingles before it in the order.
+    """Index entries of one set: the hash and the number of shingles before it in the order that a similar set cannot hold if
+    this is the first entry it shares. Of each class that has frequent ones before it, one may be shared without an entry.
 
     ``keys`` are the shingles that others hold too, in order; the other ``n - len(keys)`` come before them.
     """
@@ -58,7 +59,7 @@ def signatures(keys: np.ndarray, held_by: np.ndarray, n: int, percent: int) -> l
     alone = n - len(keys)
     need = n - int(required(n, percent)) + 1 - alone
     out: list[tuple[int, int]] = []
-    before: list[list[tuple[int, int]]] = [[] for _ in range(classes)]
+    before: list[list[int]] = [[] for _ in range(classes)]
     for place, (key, df) in enumerate(zip(keys.tolist(), held_by.tolist())):
         if need <= 0:
             break
@@ -67,9 +68,9 @@ def signatures(keys: np.ndarray, held_by: np.ndarray, n: int, percent: int) -> l
             need -= 1
             continue
         group = before[(key >> 40) % classes]
-        out += [(hash((other, key)) & (2**63 - 1), alone + place - 1) for other, _ in group]
+        out += [(hash((other, key)) & (2**63 - 1), alone + place - sum(map(bool, before))) for other in group]
         need -= bool(group)
-        group.append((key, place))
+        group.append(key)
     return out
 
 

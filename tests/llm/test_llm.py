@@ -192,6 +192,17 @@ def test_join_odd(odd, empty):
     assert ngram_join.near_copies(empty).count() == 0
 
 
+def test_join_links_copies_of_frequent_shingles(spark):
+    words = [f"v{i}" for i in range(54)]
+    texts = [" ".join(words)] + [" ".join([*words[:at], f"new{at}x{k}", *words[at + 1 :]]) for k in range(2) for at in range(7, 47)]
+    short = [f"s{i}" for i in range(12)]
+    texts += [" ".join(w.upper() if k >> i & 1 else w for i, w in enumerate(short)) for k in range(80)]
+    given = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    out = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_copies(given, 5, 80).collect()}
+    assert out == brute_components(rows_of(given), 5, 80)
+    assert len({c for _, c in out.values()}) == 2
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101), (101, 101)], "a bigint, b bigint")
     out = {(r.node, r.component) for r in components.components(edges).collect()}

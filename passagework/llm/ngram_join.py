@@ -4,7 +4,8 @@ A document is the set of its word shingles; texts that are equal are joined firs
 many documents hold them, rare ones first (an exact exchange of packed counts tells). To be similar, two sets must agree
 soon after the start of that order: if a set can lose ``n - ceil(t * n)`` shingles, its prefix is extended until, whatever
 so many shingles are lost, one rare shingle or one combination of two frequent shingles of the same class is left.
-Rare shingles are indexed by themselves, frequent ones by their pairs within each of ``CLASSES`` classes. Shingles that no other text has
+Rare shingles are indexed by themselves, frequent ones by their pairs within each of ``CLASSES`` classes. A set so small that
+it may have one frequent shingle in each class and no pair can only be similar to its equals and is indexed as a whole. Shingles that no other text has
 fill the prefix first; a text with more of them than it can lose is compared with nothing.
 
 Every bucket of the index compares all its texts with the one that has the least before its match, then, what is not
@@ -57,6 +58,8 @@ def signatures(keys: np.ndarray, held_by: np.ndarray, n: int, percent: int) -> l
     """
     classes = classes_for(percent)
     alone = n - len(keys)
+    if required(n, percent) <= classes:  # then it can lose none, nor can a similar set have more
+        return [] if alone else [(hash(tuple(keys.tolist())) & (2**63 - 1), 0)]
     need = n - int(required(n, percent)) + 1 - alone
     out: list[tuple[int, int]] = []
     before: list[list[int]] = [[] for _ in range(classes)]

@@ -203,6 +203,30 @@ def test_join_links_copies_of_frequent_shingles(spark):
     assert len({c for _, c in out.values()}) == 2
 
 
+def test_join_links_short_texts_of_frequent_shingles(spark):
+    phrase = "all rights reserved worldwide by us and ours".split()
+    texts = [" ".join([*phrase, *(f"own{i}x{j}" for j in range(40))]) for i in range(70)]
+    for n in range(4, 9):
+        texts += [" ".join(phrase[:n]), " ".join(phrase[:n]).upper(), "  ".join(phrase[:n]) + "\n"]
+    given = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for words, percent in [(4, 85), (5, 80), (5, 75)]:
+        out = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_copies(given, words, percent).collect()}
+        assert out == brute_components(rows_of(given), words, percent)
+
+
+@pytest.mark.parametrize("percent", [50, 67, 70, 75, 80, 85, 90, 95, 100])
+def test_join_signs_all_sets_of_frequent_shingles(percent, monkeypatch):
+    monkeypatch.setattr(ngram_join, "FREQUENT", 1)
+    draw = np.random.default_rng(3)
+    for n in range(1, 13):
+        for _ in range(40):
+            keys = np.sort(draw.integers(1, 2**63, n, np.uint64))
+            both = keys[np.sort(draw.permutation(n)[: ngram_join.required(n, percent)])]
+            sign = lambda k: {s for s, _ in ngram_join.signatures(k, np.full(len(k), 99.0), len(k), percent)}
+            if 100 * len(both) >= percent * n:
+                assert sign(keys) & sign(both)
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101), (101, 101)], "a bigint, b bigint")
     out = {(r.node, r.component) for r in components.components(edges).collect()}

@@ -93,10 +93,15 @@ def read_back(rendered: DataFrame) -> DataFrame:
 
 
 def event_log(rows: DataFrame) -> DataFrame:
-    """A log from finished rows by turn: each opens with the first half of its text and streams the rest."""
-    half = (F.char_length(whole(F.col("text"))) / 2).cast("int")
-    text = whole(F.col("text"))
-    first = F.struct(F.lit(0).alias("n"), F.lit("message").alias("kind"), F.substr(text, F.lit(1), half).alias("text"))
-    rest = F.struct(F.lit(1).alias("n"), F.lit("delta").alias("kind"), F.substr(text, half + 1).alias("text"))
+    """A log from finished rows: each is a turn of its own that opens with the first half of its text and streams the rest.
+
+    Turns are numbered anew by turn, role and text; rows without a turn come last, as in the registered SQL.
+    """
+    role, text = whole(F.col("role")), whole(F.col("text"))
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_last(), role, text)
+    rows = rows.select("conv_id", F.row_number().over(order).cast("bigint").alias("turn"), "role", text.alias("text"))
+    half = (F.char_length("text") / 2).cast("int")
+    first = F.struct(F.lit(0).alias("n"), F.lit("message").alias("kind"), F.substr("text", F.lit(1), half).alias("text"))
+    rest = F.struct(F.lit(1).alias("n"), F.lit("delta").alias("kind"), F.substr("text", half + 1).alias("text"))
     log = rows.select("conv_id", "turn", "role", F.inline(F.array(first, rest)))
     return log.withColumn("seq", F.col("turn") * 2 + F.col("n")).drop("n")

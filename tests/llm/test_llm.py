@@ -249,6 +249,22 @@ def test_chat_events(spark):
     assert chat.read_back(chat.render(chat.fold(events.where("false")))).count() == 0
 
 
+def test_chat_log_keeps_every_row(spark, tmp_path):
+    import duckdb
+
+    rows = [
+        (1, None, "user", "null turn"), (1, 0, "user", "abcd"), (1, 0, "user", "efgh"), (1, 1, "assistant", "same"), (1, 1, "assistant", "same"),
+        (2, None, "user", "first"), (2, None, "user", "second"), (3, 0, None, None), (3, 0, "user", "x"), (None, 0, "user", "no conversation"),
+    ]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet' ORDER BY conv_id, turn, role NULLS FIRST, text")
+    found = [tuple(r) for r in QUERIES["op5_chat"](spark, str(tmp_path)).collect()]
+    assert sorted(found, key=str) == sorted(con.execute(ORACLE["op5_chat"]).fetchall(), key=str)
+    read = {r.conv_id: r for r in chat.read_back(chat.render(chat.fold(chat.event_log(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))))).collect()}
+    assert [x.text for x in read[1].turns] == ["abcd", "efgh", "same", "same", "null turn"] and [x.text for x in read[2].turns] == ["first", "second"]
+
+
 @pytest.mark.parametrize("text", ["</s>", r"<\s>", r"[\\INST] [/INST]", "<s", "a</s></s>b", "", "<<s>>", "[[INST]]", "<INST]"])
 def test_escaping_is_reversible(spark, text):
     out = spark.createDataFrame([(text,)], "t string").select(chat.escape("t").alias("e"), chat.unescape(chat.escape("t")).alias("back")).first()

@@ -2,9 +2,9 @@
 
 The filter holds quantised counts of words and word pairs: an n-gram seen ``c`` times is in it once for each level up to
 ``floor(log c / log BASE)`` and the level is found again by probing until a probe fails, so a count is never
-under-read. Counts are taken over all training texts. The filter's size is fixed (``BITS``, a documented bound of 64 MB)
-and it is broadcast; the histogram of levels tells from which level on all n-grams fit in it at eight bits an item, and
-n-grams below that level are read as unseen and backed off. Pairs seen once are never in it.
+under-read. Counts are taken over all training texts and all of them are in it. The histogram of levels tells the number
+of items. If they fit in ``BITS`` (64 MB) at eight bits an item, the filter is broadcast. Otherwise it is cut by ranges of the
+key space, each with eight bits an item at least; blocks of texts send their distinct words and pairs to the ranges and get levels back.
 
 A token's probability is ``trust * c(previous, token) / c(previous) + (1 - trust) * (WORD * c(token) / N + (1 - WORD) / (V +
 1))``, where ``trust`` is ``PAIR`` for frequent previous tokens and falls to 0 for rare ones, with counts as read from the filter; the text's end is a token and stands before its first word. The exact
@@ -16,12 +16,14 @@ occur and are scored alike; without training text all tokens are unseen. ``doc_i
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,51 +66,65 @@ def value(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 0, np.sqrt(np.ceil(low - 1e-9) * np.maximum(np.ceil(high - 1e-9) - 1, np.ceil(low - 1e-9))), 0.0)
 
 
-def positions(keys: np.ndarray, lv: np.ndarray | int) -> Iterator[np.ndarray]:
+def positions(keys: np.ndarray, lv: np.ndarray | int, bits: int) -> Iterator[np.ndarray]:
     h = packed.mix(keys * _SALT[lv] + np.asarray(lv, np.uint64))
     step = (h >> np.uint64(32)) | np.uint64(1)
     for i in range(PROBES):
-        yield (h + np.uint64(i) * step) & np.uint64((1 << BITS) - 1)
+        yield (h + np.uint64(i) * step) & np.uint64((1 << bits) - 1)
+
+
+def read(filled: np.ndarray, bits: int, keys: np.ndarray, start: int) -> np.ndarray:
+    """The level of each key, by probing from ``start`` up until one fails; 0 if none is there."""
+    found, live, lv = np.zeros(len(keys), np.int64), np.arange(len(keys)), start
+    while len(live) and lv <= LEVELS:
+        hit = np.ones(len(live), bool)
+        for p in positions(keys[live], lv, bits):
+            hit &= (filled[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+        live = live[hit]
+        found[live], lv = lv, lv + 1
+    return found
 
 
 @dataclass(frozen=True)
 class Model:
-    """Word keys and pair keys share the filter. Levels start at ``word_from`` and ``pair_from``."""
+    """Word keys and pair keys share the filter. Levels start at ``word_from`` and ``pair_from``.
+
+    A model too large for one filter has the n-grams in ``grams``, by ``1 << range_bits`` ranges, and no bits of its own.
+    """
 
     bits: np.ndarray
     word_from: int
     pair_from: int
     tokens: int
     distinct: int
+    grams: DataFrame | None = None
+    range_bits: int = 0
 
     def read(self, keys: np.ndarray, start: int) -> np.ndarray:
-        """The level of each key, by probing from ``start`` up until one fails; 0 if none is there."""
-        found, live, lv = np.zeros(len(keys), np.int64), np.arange(len(keys)), start
-        while len(live) and lv <= LEVELS:
-            hit = np.ones(len(live), bool)
-            for p in positions(keys[live], lv):
-                hit &= (self.bits[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-            live = live[hit]
-            found[live], lv = lv, lv + 1
-        return found
+        return read(self.bits, (8 * len(self.bits)).bit_length() - 1, keys, start)
 
     def score(self, keys: np.ndarray, text: np.ndarray) -> np.ndarray:
         """log10 of each token's probability."""
-        pair, before = pairs(keys, text)
-        word, of_word = np.unique(np.append(keys, packed.END), return_inverse=True)
-        seen = value(self.read(word, self.word_from))
-        both, of_pair = np.unique(pair, return_inverse=True)
-        joint = value(self.read(both, self.pair_from))[of_pair]
-        own = seen[of_word[:-1]]
-        context = seen[np.searchsorted(word, before)]
-        p = WORD * own / max(1, self.tokens) + (1 - WORD) / (self.distinct + 1)
-        trust = PAIR * context / (context + TRUSTED)
-        p = (1 - trust) * p + trust * np.minimum(1.0, joint / np.maximum(context, np.maximum(joint, 1)))
-        return np.log10(np.minimum(p, 1.0))
+        word, both = np.unique(np.append(keys, packed.END)), np.unique(pairs(keys, text)[0])
+        return weigh(keys, text, self.read(word, self.word_from), self.read(both, self.pair_from), self.tokens, self.distinct)
+
+
+def weigh(keys: np.ndarray, text: np.ndarray, words: np.ndarray, joint: np.ndarray, total: int, distinct: int) -> np.ndarray:
+    """log10 of each token's probability by the levels of the different words, with the end, and of the different pairs, in order."""
+    pair, before = pairs(keys, text)
+    word, of_word = np.unique(np.append(keys, packed.END), return_inverse=True)
+    seen = value(words)
+    joint = value(joint)[np.unique(pair, return_inverse=True)[1]]
+    own = seen[of_word[:-1]]
+    context = seen[np.searchsorted(word, before)]
+    p = WORD * own / max(1, total) + (1 - WORD) / (distinct + 1)
+    trust = PAIR * context / (context + TRUSTED)
+    p = (1 - trust) * p + trust * np.minimum(1.0, joint / np.maximum(context, np.maximum(joint, 1)))
+    return np.log10(np.minimum(p, 1.0))
 
 
 def count_grams(training: DataFrame, bits: int) -> DataFrame:
-    """``bucket, words, word_levels, pairs, pair_levels``: the distinct n-grams of a range of the key space with levels."""
+    """``bucket, kind, keys, levels, histogram``: the distinct words (kind 0) or pairs of a range of the key space with levels."""
 
     def keys_of(hashes: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
         k, t = tokens(hashes, counts)
@@ -146,21 +162,21 @@ def count_grams(training: DataFrame, bits: int) -> DataFrame:
         counts = np.concatenate([np.frombuffer(c, np.uint32) for c in group["counts"]])
         distinct, where = np.unique(keys, return_inverse=True)
         lv = level(np.bincount(where, counts, len(distinct)))
-        keep = lv > (1 if key[1] else 0)  # pairs seen once stay out
+        keep = lv > 0
         return pd.DataFrame(
             {
-                "kind": key[1], "keys": [packed.pack_keys(distinct[keep], 8)], "levels": [lv[keep].astype(np.uint8).tobytes()],
+                "bucket": key[0], "kind": key[1], "keys": [packed.pack_keys(distinct[keep], 8)], "levels": [lv[keep].astype(np.uint8).tobytes()],
                 "histogram": [np.bincount(lv[keep], minlength=LEVELS + 1).tolist()],
             }
         )
 
     sent = training.select("text").mapInArrow(send, "bucket int, kind int, keys binary, counts binary")
-    return sent.groupBy("bucket", "kind").applyInPandas(merge, "kind int, keys binary, levels binary, histogram array<bigint>")
+    return sent.groupBy("bucket", "kind").applyInPandas(merge, "bucket int, kind int, keys binary, levels binary, histogram array<bigint>")
 
 
 def lowest_levels(words: np.ndarray, pairs_: np.ndarray, room: int) -> tuple[int, int]:
     """The lowest starting levels of words and pairs, by histogram of levels, at which all items fit in ``room``."""
-    start = [1, 2]
+    start = [1, 1]
     items = lambda h, s: int((h[s:] * np.arange(1, len(h) - s + 1)).sum())
     while items(words, start[0]) + items(pairs_, start[1]) > room:
         kind = 1 if items(pairs_, start[1]) >= items(words, start[0]) else 0
@@ -176,17 +192,18 @@ def train(docs: DataFrame, distinct: int, total: int) -> Model:
     sizes = np.zeros((2, LEVELS + 1), np.int64)
     for kind, lv, n in histogram.collect():  # LEVELS numbers a kind
         sizes[kind, lv] = n
-    starts = lowest_levels(sizes[0], sizes[1], (1 << BITS) // PER_ITEM)
-    spark, segment = docs.sparkSession, 16
+    starts, size_bits, segment = lowest_levels(sizes[0], sizes[1], (1 << BITS) // PER_ITEM), BITS, 16
+    if starts != (1, 1):
+        return Model(np.empty(0, np.uint8), 1, 1, total, distinct, grams, bits)
 
     def insert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The filter bits of each row's items, segment by segment."""
         for batch in batches:
-            for kind, keys, levels in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for keys, levels in zip(*(batch.column(i).to_pylist() for i in range(2))):
                 k, top = packed.unpack_keys(keys, 8), np.frombuffer(levels, np.uint8).astype(np.int64)
                 found = [np.empty(0, np.uint64)]
-                for lv in range(starts[kind], int(top.max(initial=0)) + 1):
-                    found += positions(k[top >= lv], lv)
+                for lv in range(1, int(top.max(initial=0)) + 1):
+                    found += positions(k[top >= lv], lv, size_bits)
                 at = np.unique(np.concatenate(found))
                 part = (at >> np.uint64(segment)).astype(np.int64)
                 ids, first = np.unique(part, return_index=True)
@@ -198,8 +215,8 @@ def train(docs: DataFrame, distinct: int, total: int) -> Model:
         bit[np.frombuffer(b"".join(group["at"]), np.uint16)] = True
         return pd.DataFrame({"segment": [key[0]], "bits": [np.packbits(bit, bitorder="little").tobytes()]})
 
-    rows = grams.select("kind", "keys", "levels").mapInArrow(insert, "segment bigint, at binary")
-    filled, size = np.zeros(1 << (BITS - 3), np.uint8), 1 << (segment - 3)
+    rows = grams.select("keys", "levels").mapInArrow(insert, "segment bigint, at binary")
+    filled, size = np.zeros(1 << (size_bits - 3), np.uint8), 1 << (segment - 3)
     for s, data in rows.groupBy("segment").applyInPandas(merge, "segment bigint, bits binary").toLocalIterator():
         filled[s * size : (s + 1) * size] = np.frombuffer(data, np.uint8)
     return Model(filled, *starts, total, distinct)
@@ -250,6 +267,9 @@ def _numbers(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, score``: the log10 probability of each text."""
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("doc_id"), "text")
+    if model.grams is not None:
+        return score_by_range(rows, model.grams, model.range_bits, model.tokens, model.distinct)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,10 +280,79 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 total[first : first + len(counts)] = np.bincount(text, held.value.score(keys, text), len(counts))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total)], ["doc_id", "score"])
 
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("doc_id"), "text")
     return rows.mapInArrow(scored, "doc_id bigint, score double")
 
 
+PROBED = pa.schema(
+    [("block", pa.int64()), ("bucket", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("at", pa.binary()), ("ids", pa.binary()), ("sizes", pa.binary())]
+)
+
+
+def score_by_range(rows: DataFrame, grams: DataFrame, bits: int, total: int, distinct: int) -> DataFrame:
+    """``doc_id, score`` by a filter for each range of the key space, to which blocks of texts send their distinct n-grams.
+
+    A block has a row with its words, in order and as places in that order (bucket -1), and one for each range and kind.
+    """
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 24
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = n = 0
+
+        def close() -> pa.RecordBatch:
+            ids, sizes, keys = map(np.concatenate, zip(*held))
+            words, at = np.unique(keys, return_inverse=True)
+            head = (number, -1, 0, packed.pack_keys(words, 8), at.astype(np.uint32).tobytes(), ids.tobytes(), sizes.astype(np.int64).tobytes())
+            out = [head]
+            for kind, k in enumerate((words, np.unique(pairs(keys, np.repeat(np.arange(len(ids)), sizes))[0]))):
+                edges = np.searchsorted((k >> np.uint64(64 - bits)).astype(np.int64), np.arange((1 << bits) + 1))
+                for b in np.flatnonzero(np.diff(edges)).tolist():
+                    out.append((number, b, kind, packed.pack_keys(k[edges[b] : edges[b + 1]], 8), None, None, None))
+            return pa.RecordBatch.from_pydict(dict(zip(PROBED.names, map(list, zip(*out)))), PROBED)
+
+        for batch in batches:
+            id_ = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for first, hashes, counts in packed.word_hashes(batch.column(1)):
+                keys = tokens(hashes, counts)[0]
+                if held and (size + len(keys) > packed.BLOCK_KEYS or n + len(counts) > packed.BLOCK_ROWS):
+                    yield close()
+                    number += 1
+                    held.clear()
+                    size = n = 0
+                held.append((id_[first : first + len(counts)], counts + 1, keys))
+                size, n = size + len(keys), n + len(counts)
+        if held:
+            yield close()
+
+    def answer(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        k = np.concatenate([np.empty(0, np.uint64), *(packed.unpack_keys(x, 8) for x in right["keys"])])
+        top = np.frombuffer(b"".join(right["levels"]), np.uint8).astype(np.int64)
+        size = max(16, math.ceil(math.log2(max(1, PER_ITEM * int(top.sum())))))
+        bit = np.zeros(1 << size, bool)
+        for lv in range(1, int(top.max(initial=0)) + 1):
+            for p in positions(k[top >= lv], lv, size):
+                bit[p] = True
+        filled = np.packbits(bit, bitorder="little")
+        levels = [read(filled, size, packed.unpack_keys(x, 8), 1).astype(np.uint8).tobytes() for x in left["keys"]]
+        return pd.DataFrame({"block": left["block"], "bucket": left["bucket"], "kind": left["kind"], "levels": levels})
+
+    def scored(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        head, right = left.iloc[0], right.sort_values("bucket")
+        ids, sizes = np.frombuffer(head["ids"], np.int64), np.frombuffer(head["sizes"], np.int64)
+        keys = packed.unpack_keys(head["keys"], 8)[np.frombuffer(head["at"], np.uint32)]
+        text = np.repeat(np.arange(len(ids)), sizes)
+        words, joint = (np.frombuffer(b"".join(right.loc[right["kind"] == kind, "levels"]), np.uint8).astype(np.int64) for kind in (0, 1))
+        logs = weigh(keys, text, words, joint, total, distinct)
+        return pd.DataFrame({"doc_id": ids, "score": np.bincount(text, logs, len(ids))})
+
+    sent = stage(rows.mapInArrow(blocks, "block bigint, bucket int, kind int, keys binary, at binary, ids binary, sizes binary"), "probes")
+    asked = sent.where("bucket >= 0").select("block", "bucket", "kind", "keys").groupBy("bucket", "kind")
+    told = asked.cogroup(grams.select("bucket", "kind", "keys", "levels").groupBy("bucket", "kind"))
+    answers = told.applyInPandas(answer, "block bigint, bucket int, kind int, levels binary")
+    heads = sent.where("bucket < 0").select("block", "keys", "at", "ids", "sizes").groupBy("block")
+    return heads.cogroup(answers.groupBy("block")).applyInPandas(scored, "doc_id bigint, score double")
+
+
 def score_held_out(docs: DataFrame, modulo: int = 7, rest: int = 2) -> DataFrame:
     """Every text's scores, learning from those whose id's crc32 leaves another remainder than ``rest``."""
     trains = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulo != rest, F.lit(False))

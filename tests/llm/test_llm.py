@@ -94,6 +94,26 @@ def test_lm_levels_never_under_read(spark):
     assert ngram_lm.lowest_levels(np.array([0, 10, 5]), np.array([0, 0, 100]), 40)[1] > 2
 
 
+@pytest.mark.parametrize("bits", [16, 29])
+def test_lm_holds_all_levels_at_every_size(spark, docs, monkeypatch, bits):
+    monkeypatch.setattr(ngram_lm, "BITS", bits)
+    held = docs.where("doc_id is not null").select("doc_id", "text").limit(150).localCheckpoint()
+    texts = rows_of(held)
+    _, hashes, counts = next(ngram_lm.packed.word_hashes(__import__("pyarrow").array([x for _, x in texts], "string")))
+    texts = texts[: len(counts)]
+    held = spark.createDataFrame(texts, "doc_id bigint, text string")
+    keys, text = ngram_lm.tokens(hashes, counts)
+    seen = Counter(keys.tolist()) + Counter(ngram_lm.pairs(keys, text)[0].tolist())
+    model = ngram_lm.train(held, len(set(keys.tolist())), len(keys))
+    levels = lambda k: ngram_lm.level(np.array([seen[x] for x in k.tolist()]))
+    word, both = np.unique(keys), np.unique(ngram_lm.pairs(keys, text)[0])
+    exact = np.bincount(text, ngram_lm.weigh(keys, text, levels(word), levels(both), model.tokens, model.distinct), len(texts))
+    found = {r.doc_id: r.score for r in ngram_lm.score(held, model).collect()}
+    assert (model.grams is None) == (bits == 29) and len(found) == len(texts)
+    for (i, _), score, n in zip(texts, exact, counts + 1):
+        assert abs(found[i] - score) <= 0.02 * n + 0.5
+
+
 def test_lm_empty(empty):
     assert ngram_lm.score_held_out(empty).count() == 0
 

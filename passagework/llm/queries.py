@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagework.llm import chat, decontam, gam, line_dedup, mixing, ngram_join, ngram_lm, quality_rules, repeats, toxicity
+from passagework.llm import (
+    chat, decontam, gam, hard_negatives, line_dedup, mixing, ngram_join, ngram_lm, quality_rules, repeats, token_counts, toxicity, whitening,
+)
 from passagework.llm.text import word_count
+from passagework.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -94,6 +97,29 @@ def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@_query
+def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whitened_vectors(_table(spark, sf, "embeddings").select("vec_id", "embedding"))
+
+
+@_query
+def op12_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """With a cache of its own, so every run encodes all different texts."""
+    import public_tokenizers
+
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    tokenizer = token_counts.Tokenizer.of(public_tokenizers.path("byte_bpe_50k.json"))
+    return token_counts.count_tokens(docs, tokenizer, scratch_path(spark, "token-cache"))
+
+
+@_query
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = _table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
+    label = F.col("label").cast("bigint")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(vectors, F.col("id") % 100 == 0, F.col("vec_id"), moved)
+
+
 # The same line key as the operator's: stripped of blanks at both ends, A-Z in lower case.
 ORACLE["op3_line_dedup"] = r"""
 WITH cut AS (
@@ -129,3 +155,24 @@ SELECT conv_id, count(*) AS n_turns,
            + len(regexp_extract_all(text, '[<\[]\\*(?:/?s>|/?INST\])'))) AS BIGINT) AS formatted_chars
 FROM rows GROUP BY conv_id
 """
+
+ORACLE["op13_hard_negatives"] = """
+WITH rows AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scored AS (
+  SELECT a.id AS anchor_id, r.id, a.label = r.label AS same, CAST(list_dot_product(a.x, r.x) AS BIGINT) AS score
+  FROM rows a JOIN rows r ON a.id <> r.id WHERE a.id % 100 = 0),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+       s.id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) <= 10
+"""

@@ -99,7 +99,9 @@ def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
-    return whitening.whitened_vectors(_table(spark, sf, "embeddings").select("vec_id", "embedding"))
+    """A deviation beyond a long is null."""
+    whitened = whitening.whitened_vectors(_table(spark, sf, "embeddings").select("vec_id", "embedding"))
+    return whitened.withColumn("deviation", F.col("deviation").try_cast("bigint"))
 
 
 @_query

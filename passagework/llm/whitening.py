@@ -16,7 +16,7 @@ all rows hold is one row a task, and written once for all passes.
 Nulls and odd input: rows without a vector or with a null, NaN or infinite entry take no part. Of vectors of different lengths those
 of the commonest length count (the longer of equals). A null id is an id like any other; repeated rows are answered each. A
 direction without variance has no component, so constant or dependent dimensions give fewer; a single different vector, or none, gives
-no rows. Other columns are ignored. A ``deviation`` beyond a long fails the job.
+no rows. Other columns are ignored. ``deviation`` is a decimal of 38 digits.
 """
 
 from __future__ import annotations
@@ -181,6 +181,11 @@ def identity_error(different: DataFrame, model: Whitening) -> float:
     return float(np.abs(gram / model.n - np.outer(mean, mean) - np.eye(width)).max())
 
 
+def _decimal(values: np.ndarray) -> pa.Array:
+    kind = pa.decimal128(38, 0)
+    return pa.array(values.tolist(), kind) if values.dtype == object else pa.array(values).cast(kind)
+
+
 def whiten(vectors: DataFrame, model: Whitening, row_id: str = "vec_id") -> DataFrame:
     """``row_id, component, n, deviation, whitened, explained`` of every row and component."""
     length, width = len(model.sums), len(model.deviations)
@@ -191,13 +196,13 @@ def whiten(vectors: DataFrame, model: Whitening, row_id: str = "vec_id") -> Data
                 ids = batch.column(0).slice(start, len(x)).take(pa.array(np.repeat(np.arange(len(x)), width)))
                 columns = [
                     ids, pa.array(np.tile(np.arange(1, width + 1, dtype=np.int32), len(x))), pa.array(np.full(len(ids), model.n)),
-                    pa.array(np.repeat(model.deviation(x), width).tolist(), pa.int64()), pa.array(model.whiten(x).ravel()),
+                    _decimal(np.repeat(model.deviation(x), width)), pa.array(model.whiten(x).ravel()),
                     pa.array(np.tile(model.explained, len(x))),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, [row_id, "component", "n", "deviation", "whitened", "explained"])
 
     kind = vectors.schema[row_id].dataType.simpleString()
-    schema = f"`{row_id}` {kind}, component int, n bigint, deviation bigint, whitened double, explained double"
+    schema = f"`{row_id}` {kind}, component int, n bigint, deviation decimal(38,0), whitened double, explained double"
     return vectors.where(F.size("x") == length).select(row_id, "x").mapInArrow(task, schema)
 
 
@@ -208,6 +213,6 @@ def whitened_vectors(vectors: DataFrame, row_id: str = "vec_id", vector: str = "
     model = fit(different, length, components)
     if model is None:
         kind = vectors.schema[row_id].dataType.simpleString()
-        schema = f"`{row_id}` {kind}, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double"
+        schema = f"`{row_id}` {kind}, component int, n bigint, deviation decimal(38,0), whitened double, explained double, identity_error double"
         return vectors.sparkSession.createDataFrame([], schema)
     return whiten(whole, model, row_id).withColumn("identity_error", F.lit(identity_error(different, model)))

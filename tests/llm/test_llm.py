@@ -55,7 +55,7 @@ def lower_words(text):
 def test_registered():
     found = entry_module.queries()
     assert set(QUERIES) <= set(found) and found["pipeline"] is corpus_pipeline.run
-    assert set(ORACLE) <= set(QUERIES) and len(QUERIES) == 10
+    assert set(ORACLE) <= set(QUERIES) and len(QUERIES) == 13
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

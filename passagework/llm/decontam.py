@@ -9,8 +9,9 @@ similarity of the shingles, sum of minima over sum of maxima.
 
 Everything is built-in expressions. The items' side is broadcast only if its bytes are counted to be within
 ``BROADCAST_CHARS``. Nulls and odd input: null texts and texts without words match nothing, items with null id or
-no words are ignored, repeated documents give their rows once, equal items match under each id, windows at the ends of a
-text are cut short. Other columns are ignored or carried along. Empty tables give no match and drop nothing.
+no words are ignored, equal items match under each id, windows at the ends of a text are cut short. A document is its id and its
+text (``KEY``): documents without an id or with a shared one are told apart by their texts, and rows that repeat both
+give their matches once. Other columns are ignored or carried along. Empty tables give no match and drop nothing.
 """
 
 from __future__ import annotations
@@ -28,6 +29,11 @@ RADIUS = 23
 BROADCAST_CHARS = 8_000_000
 _TOKEN = r"[\p{L}\p{N}]+"
 _LONGS = "array<bigint>"
+KEY = ["doc_id", "__node"]
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("__node", F.xxhash64("text"))
 
 
 def tokens(text: Column) -> Column:
@@ -98,51 +104,57 @@ def _items(benchmark: DataFrame) -> DataFrame:
 
 def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """``doc_id, item_id, similarity, start``: the best window of each item found in a document."""
+    found = _matches(keyed(docs.select("doc_id", "text")), benchmark, similarity, radius)
+    return found.select("doc_id", "item_id", "similarity", "start")
+
+
+def _matches(docs: DataFrame, benchmark: DataFrame, similarity: float, radius: int) -> DataFrame:
+    """``matches`` of documents told apart by ``KEY``."""
     items = stage(_items(benchmark), "items")
     small = (benchmark.agg(F.sum(F.char_length("text"))).first()[0] or 0) <= BROADCAST_CHARS
     held = F.broadcast if small else lambda df: df
     lengths = sorted(r[0] for r in items.select("length").distinct().collect())  # five at most
-    docs = docs.select("doc_id", "text")
     places = items.select("item_id", "length", F.size("hs").alias("n"), F.posexplode("hs").alias("j", "h"))
-    cut = compute_once(docs, ["doc_id"], w=tokens(F.col("text")))
+    cut = compute_once(docs, KEY, w=tokens(F.col("text")))
     windows = None
     for length in lengths:
-        own = cut.select("doc_id", F.posexplode(shingles(F.col("w"), length)).alias("i", "h"))
+        own = cut.select(*KEY, F.posexplode(shingles(F.col("w"), length)).alias("i", "h"))
         hit = own.join(held(places.where(F.col("length") == length)), "h")
-        hit = hit.select("doc_id", "item_id", "length", "n", "i", (F.col("i") - F.col("j")).alias("start"))
+        hit = hit.select(*KEY, "item_id", "length", "n", "i", (F.col("i") - F.col("j")).alias("start"))
         windows = hit if windows is None else windows.unionByName(hit)
-    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, item_id {dict(benchmark.dtypes)['item_id']}, similarity double, start int"
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, __node bigint, item_id {dict(benchmark.dtypes)['item_id']}, similarity double, start int"
     if windows is None:
         return docs.sparkSession.createDataFrame([], schema)
-    windows = windows.groupBy("doc_id", "item_id", "length", "n").agg(
+    windows = windows.groupBy(*KEY, "item_id", "length", "n").agg(
         F.collect_set("start").alias("aligned"), F.sort_array(F.collect_set("i")).alias("at")
     )
-    windows = windows.select("doc_id", "item_id", "length", "n", starts(F.col("aligned"), F.col("at"), F.col("n")).alias("starts"))
-    asked = windows.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "length", "n", "starts")).alias("asked"))
+    windows = windows.select(*KEY, "item_id", "length", "n", starts(F.col("aligned"), F.col("at"), F.col("n")).alias("starts"))
+    asked = windows.groupBy(*KEY).agg(F.collect_list(F.struct("item_id", "length", "n", "starts")).alias("asked"))
     asked = stage(asked, "windows")
-    met = join_same(docs, asked, ["doc_id"], "inner")
-    met = compute_once(met, ["doc_id", "asked"], w=tokens(F.col("text")))
+    met = join_same(docs, asked, KEY, "inner")
+    met = compute_once(met, [*KEY, "asked"], w=tokens(F.col("text")))
     made = F.array(*(F.when(F.array_contains(F.col("asked.length"), n), shingles(F.col("w"), n)) for n in range(1, SHINGLE + 1)))
-    met = compute_once(met, ["doc_id", "asked"], hs=made).select("doc_id", "hs", F.inline("asked"))
-    met = met.select("doc_id", "hs", "item_id", "length", "n", F.explode("starts").alias("start"))
+    met = compute_once(met, [*KEY, "asked"], hs=made).select(*KEY, "hs", F.inline("asked"))
+    met = met.select(*KEY, "hs", "item_id", "length", "n", F.explode("starts").alias("start"))
     first = F.greatest(F.col("start"), F.lit(0))
     own = F.slice(F.get(F.col("hs"), F.col("length") - 1), first + 1, F.greatest(F.col("start") + F.col("n") - first, F.lit(0)))
-    window = compute_once(met, ["doc_id", "item_id", "start"], own=own).where(F.size("own") > 0)
+    window = compute_once(met, [*KEY, "item_id", "start"], own=own).where(F.size("own") > 0)
     window = window.distinct().withColumn("print", simhash(F.col("own")))
     window = stage(window, "prints")
     sides = [x.select(*k, F.inline(blocks(F.col("print"), radius))) for x, k in (
-        (window, ["doc_id", "item_id", "start"]), (items, ["item_id"]))]
-    found = sides[0].join(held(sides[1]), ["item_id", "block", "value"]).select("doc_id", "item_id", "start").distinct()
-    near = join_same(window, found, ["doc_id", "item_id", "start"], "left_semi")
+        (window, [*KEY, "item_id", "start"]), (items, ["item_id"]))]
+    found = sides[0].join(held(sides[1]), ["item_id", "block", "value"]).select(*KEY, "item_id", "start").distinct()
+    near = join_same(window, found, [*KEY, "item_id", "start"], "left_semi")
     near = near.join(held(items.select("item_id", "hs", F.col("print").alias("wanted"))), "item_id")
     near = near.where(F.bit_count(F.col("print").bitwiseXOR(F.col("wanted"))) <= radius)
-    scored = near.select("doc_id", "item_id", "start", weighted_similarity(F.col("own"), F.col("hs")).alias("similarity"))
+    scored = near.select(*KEY, "item_id", "start", weighted_similarity(F.col("own"), F.col("hs")).alias("similarity"))
     scored = scored.where(F.col("similarity") >= similarity)
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back")))
-    out = scored.groupBy("doc_id", "item_id").agg(best.alias("b"))
-    return out.select("doc_id", "item_id", "b.similarity", F.greatest(-F.col("b.back"), F.lit(0)).alias("start"))
+    out = scored.groupBy(*KEY, "item_id").agg(best.alias("b"))
+    return out.select(*KEY, "item_id", "b.similarity", F.greatest(-F.col("b.back"), F.lit(0)).alias("start"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` without those that hold an item."""
-    return join_same(docs, matches(docs, benchmark, similarity).select("doc_id").distinct(), ["doc_id"], "left_anti")
+    found = _matches(keyed(docs.select("doc_id", "text")), benchmark, similarity, RADIUS).select(*KEY).distinct()
+    return join_same(keyed(docs), found, KEY, "left_anti").drop("__node")

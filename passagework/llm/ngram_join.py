@@ -212,7 +212,15 @@ def near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with only the smallest id of each component; rows that repeat it are one. Null ids stay."""
-    first = near_copies(docs, words, percent).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    """``docs`` with only the document of the smallest id of each component; ids of null come last.
+
+    A document is its id and its text: rows without an id or with a shared one are told apart by their texts, and rows that repeat
+    both are one. Texts without words are linked with nothing, so they stay. Ids may have any type.
+    """
+    named = docs.withColumn("__node", F.xxhash64("doc_id", F.col("text").isNull(), "text"))
+    classes = near_copies(named.select(F.col("__node").alias("doc_id"), "text"), words, percent)
+    classes = classes.select(F.col("doc_id").alias("__node"), "component_id").distinct()
+    each = named.select("__node", "doc_id").join(classes, "__node")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__node")).alias("first")
+    kept = each.groupBy("component_id").agg(first).select(F.col("first.__node").alias("__node"))
+    return named.join(kept, "__node", "left_semi").dropDuplicates(["__node"]).drop("__node")

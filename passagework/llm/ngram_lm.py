@@ -11,7 +11,8 @@ A token's probability is ``trust * c(previous, token) / c(previous) + (1 - trust
 add-one score that it is compared with comes from an exchange of packed counts (``packed``), without any filter.
 
 Nulls and odd input: a null or blank text is its end alone; a null id never trains; repeated rows count as often as they
-occur and are scored alike; without training text all tokens are unseen. ``doc_id`` is an integer.
+occur and are scored alike; rows that share an id are told apart by their texts; without training text all tokens are unseen. Other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -226,8 +227,6 @@ def exact_counts(docs: DataFrame, trains: Column) -> tuple[DataFrame, int, int]:
     """``doc_id, n_tokens, n_known, logs`` per row, and the training tokens' number of distinct ones and of all."""
     bits, _ = packed.plan(docs)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", trains.alias("trains"))
-    null_id = -(2**63)
-    rows = rows.withColumn("doc_id", F.coalesce("doc_id", F.lit(null_id)))
     posts = stage(packed.post(rows, tokens, bits, 8, "trains"), "tokens")
     answers = stage(
         packed.totals(
@@ -267,7 +266,7 @@ def _numbers(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, score``: the log10 probability of each text."""
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("doc_id"), "text")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     if model.grams is not None:
         return score_by_range(rows, model.grams, model.range_bits, model.tokens, model.distinct)
     held = docs.sparkSession.sparkContext.broadcast(model)
@@ -356,19 +355,17 @@ def score_by_range(rows: DataFrame, grams: DataFrame, bits: int, total: int, dis
 def score_held_out(docs: DataFrame, modulo: int = 7, rest: int = 2) -> DataFrame:
     """Every text's scores, learning from those whose id's crc32 leaves another remainder than ``rest``."""
     trains = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulo != rest, F.lit(False))
-    docs = docs.select("doc_id", "text")
-    exact, distinct, total = exact_counts(docs, trains)
-    model = train(docs.where(trains), distinct, total)
-    # rows that repeat an id are told apart by nothing but their text, so sums are paired by id, tokens and rank
-    scored = score(docs, model).groupBy("doc_id").agg(F.sort_array(F.collect_list("score")).alias("scores"))
+    # rows of one id and text have equal scores; rows that share only the id do not
+    named = docs.select("doc_id", "text", F.xxhash64("doc_id", F.col("text").isNull(), "text").alias("node"))
+    docs = named.select(F.col("node").alias("doc_id"), "text", trains.alias("trains"))
+    exact, distinct, total = exact_counts(docs, F.col("trains"))
+    model = train(docs.where("trains"), distinct, total)
+    scored = score(docs, model).groupBy("doc_id").agg(F.first("score").alias("score"))
     base = F.col("logs") - F.col("n_tokens") * F.log10(F.lit(float(total + distinct + 1)))
-    exact = exact.withColumn("base_score", base).groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("base_score", "n_tokens", "n_known"))).alias("exact")
-    )
-    rows = exact.join(scored, "doc_id").select("doc_id", F.inline(F.arrays_zip("exact", "scores")))
-    id_ = F.when(F.col("doc_id") != -(2**63), F.col("doc_id"))
+    exact = exact.withColumn("base_score", base).groupBy("doc_id").agg(F.first(F.struct("base_score", "n_tokens", "n_known")).alias("exact"))
+    rows = exact.join(scored, "doc_id").withColumnRenamed("doc_id", "node")
+    rows = named.select("node", "doc_id").join(rows, "node")
     return rows.select(
-        id_.alias("doc_id"), F.coalesce(F.crc32(id_.cast("string")) % modulo == rest, F.lit(True)).alias("held_out"),
-        "exact.n_tokens", "exact.n_known", F.lit(total).cast("bigint").alias("train_tokens"), "exact.base_score",
-        F.col("scores").alias("score"),
+        "doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulo == rest, F.lit(True)).alias("held_out"),
+        "exact.n_tokens", "exact.n_known", F.lit(total).cast("bigint").alias("train_tokens"), "exact.base_score", "score",
     )

@@ -1,14 +1,17 @@
 """Exact k-nearest-neighbour join of two vector tables, dense or sparse.
 
-Two ways lead to the same rows:
+Three ways lead to the same rows:
 
 * *scan*: a question side of proven size goes to every task and the corpus is read where it lies. Each
   task keeps the best k per question while it streams its partition, so it returns at most
   ``questions * k`` rows and the corpus is never shuffled.
-* *grid*: any other question side. Both sides are cut into blocks of bounded size by a hash of their
-  id, each pair of blocks meets in one task by an ordinary shuffle, and each cell returns its best k.
+* *stream*: any other question side. The questions are written once to the shared folder. A task reads its part of the corpus
+  once, where it lies, holds a bounded number of rows and streams the question blocks past them. Neither side is counted, and the
+  corpus is never shuffled or copied.
+* *grid*: the questions are too many and Python tasks cannot open the shared folder. Both sides are cut into blocks of bounded size by a
+  hash of their id, each pair of blocks meets in one task by an ordinary shuffle, and each cell returns its best k.
 
-Both end in a top-k per question. The hits of a scan are few, at most ``questions * k``, and carry a
+All end in a top-k per question. The hits of a scan are few, at most ``questions * k``, and carry a
 broadcast hint where that is proven small. Scores are rounded before ranking and ties go to the smallest id, in
 the tasks as in the final ranking, so any number of exact copies costs no more than k rows per task.
 """
@@ -25,6 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passagework.operators.ranking import top_k
+from passagework.session import scratch_path
+from passagework.sources.shared import SharedParquet, readable
 
 METRICS = ("cosine", "l2", "relevance")
 DIGITS = 6
@@ -39,6 +44,9 @@ WIDE_CLUSTER = 512
 BROADCAST_HITS = 100_000
 GRID_QUESTIONS = 8_192
 GRID_CORPUS = 65_536
+# The stream way: questions of a block, and values of the corpus rows a task holds while the blocks pass (8 bytes each).
+STREAM_QUESTIONS = 4_096
+STREAM_VALUES = 8_000_000
 
 
 def _id_type(field: T.DataType) -> pa.DataType:
@@ -274,7 +282,7 @@ def nearest(
     are proven to fit. ``skip_same_id`` leaves out the corpus row with the question's own id, for a table
     searched with its own rows.
     """
-    if metric not in METRICS or way not in ("auto", "scan", "grid"):
+    if metric not in METRICS or way not in ("auto", "scan", "stream", "grid"):
         raise ValueError(f"unknown metric {metric!r} or way {way!r}")
     if k < 1 or corpus_id == question_id:
         raise ValueError("k must be at least 1 and the id columns must differ")
@@ -288,7 +296,7 @@ def nearest(
     left = left.select(F.col("qid").cast("string" if q_type == pa.string() else "bigint").alias("qid"), "v")
     right = right.select(F.col("id").cast("string" if c_type == pa.string() else "bigint").alias("id"), "v")
 
-    small = None if way == "grid" else _small_side(left)
+    small = _small_side(left) if way in ("auto", "scan") else None
     if small is None and way == "scan":
         raise ValueError("the question side exceeds the bound of the scan way")
     names = ["qid", "id", "score"]
@@ -322,6 +330,30 @@ def nearest(
             yield _hits(best, qids, c_type, names)
 
         found = right.mapInArrow(scan, schema)
+    elif (asked := _shared(left, way)) is not None:
+
+        def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[tuple[np.ndarray, object]] = []
+            values = 0
+
+            def past() -> Iterator[pa.RecordBatch]:
+                for block in asked.batches(["qid", "v"], STREAM_QUESTIONS):
+                    qids, rows = prepared(pa.Table.from_batches([block]))
+                    best = _Best(rows, kept, metric)
+                    for ids, part in held:
+                        best.add(ids, part)
+                    yield _hits(best, qids, c_type, names)
+
+            for batch in batches:
+                held.append((_ids(batch.column(0)), vectors(batch.column(1))))
+                values += len(batch.column(1).flatten())
+                if values > STREAM_VALUES:
+                    yield from past()
+                    held, values = [], 0
+            if held:
+                yield from past()
+
+        found = right.mapInArrow(stream, schema)
     else:
         # Block counts come from row counts, so that blocks stay bounded at any size.
         q_blocks = max(1, math.ceil(left.count() / GRID_QUESTIONS))
@@ -365,6 +397,19 @@ def nearest(
     return ranked
 
 
+def _shared(left: DataFrame, way: str) -> SharedParquet | None:
+    """The questions in the shared folder, if Python tasks can open it; None for the grid."""
+    if way == "grid":
+        return None
+    root = scratch_path(left.sparkSession, "questions")
+    left.write.parquet(root)
+    if readable(root):
+        return SharedParquet(root)
+    if way == "stream":
+        raise ValueError(f"Python cannot open {root}")
+    return None
+
+
 def _small_side(left: DataFrame) -> pa.Table | None:
     """The questions as one table if they are within both bounds, else None; reads at most the bound."""
     # Sizes first, partition by partition up to the bound: an oversized side is never brought here.

@@ -241,7 +241,7 @@ def knn_relevance(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def knn_blocked(spark: SparkSession, sf: str) -> DataFrame:
     """``knn_cosine`` the way a question side beyond any bound takes."""
-    return _neighbours(spark, sf, 4, way="grid")
+    return _neighbours(spark, sf, 4, way="stream")
 
 
 @_query

@@ -58,7 +58,7 @@ def collected(df):
 
 
 @pytest.mark.parametrize("metric", N.METRICS)
-@pytest.mark.parametrize("way", ["scan", "grid"])
+@pytest.mark.parametrize("way", ["scan", "stream", "grid"])
 def test_equals_brute_force(spark, metric, way):
     corpus, questions = vectors(300, 8, 1, copies=100), vectors(30, 8, 2)
     questions[0] = corpus[0]
@@ -72,16 +72,16 @@ def test_equals_brute_force(spark, metric, way):
         assert [s for _, s in got[q]] == pytest.approx([s for _, s in hits], abs=2e-6)
 
 
-@pytest.mark.parametrize("way", ["scan", "grid"])
+@pytest.mark.parametrize("way", ["scan", "stream", "grid"])
 def test_many_blocks(spark, monkeypatch, way):
-    for name, value in (("CELL_SCORES", 50), ("GRID_QUESTIONS", 4), ("GRID_CORPUS", 16), ("WIDE_CLUSTER", 1)):
+    for name, value in (("CELL_SCORES", 50), ("GRID_QUESTIONS", 4), ("GRID_CORPUS", 16), ("STREAM_QUESTIONS", 3), ("STREAM_VALUES", 40), ("WIDE_CLUSTER", 1)):
         monkeypatch.setattr(N, name, value)
     corpus, questions = vectors(90, 4, 3, copies=30), vectors(11, 4, 4)
     found = N.nearest(frame(spark, corpus, "id"), frame(spark, questions, "qid"), 5, way=way)
     assert collected(found) == brute(corpus, questions, 5, "cosine")
 
 
-@pytest.mark.parametrize("way", ["scan", "grid"])
+@pytest.mark.parametrize("way", ["scan", "stream", "grid"])
 def test_string_ids_ties_zero_and_null_vectors(spark, way):
     corpus = [[1, 0], [0, 0], [2, 0], None, [0, 1], [3, 0], [-1, 0]]
     questions = [[1, 0], [0, 0], None]
@@ -92,7 +92,7 @@ def test_string_ids_ties_zero_and_null_vectors(spark, way):
     assert collected(found) == {0: [("id-0", 1.0), ("id-2", 1.0), ("id-5", 1.0), ("id-4", 0.0), ("id-6", -1.0)]}
 
 
-@pytest.mark.parametrize("way", ["scan", "grid"])
+@pytest.mark.parametrize("way", ["scan", "stream", "grid"])
 def test_sparse(spark, way):
     rng = np.random.default_rng(5)
 
@@ -116,18 +116,37 @@ def test_sparse(spark, way):
         assert collected(found) == {q: h for q, h in wanted.items()}
 
 
-def test_oversized_questions_take_the_grid(spark, monkeypatch):
+def test_oversized_questions_stream_past_the_corpus(spark, monkeypatch):
+    """No exchange and no count of the corpus: below the Python step there is its scan alone."""
     monkeypatch.setattr(N, "SCAN_ROWS", 10)
     corpus, questions = frame(spark, vectors(20, 4, 6), "id"), frame(spark, vectors(11, 4, 7), "qid")
-    plan = N.nearest(corpus, questions, 2)._jdf.queryExecution().executedPlan().toString()
-    assert "FlatMapCoGroups" in plan
+    wanted = collected(N.nearest(corpus, questions, 2, way="stream"))
+    counted = []
+    monkeypatch.setattr(type(corpus), "count", lambda df: counted.append(df))
+    found = N.nearest(corpus, questions, 2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapCoGroups" not in plan and "Exchange" not in plan[plan.index("MapInArrow") :] and not counted
+    monkeypatch.undo()
+    assert collected(found) == wanted
+    monkeypatch.setattr(N, "SCAN_ROWS", 10)
     with pytest.raises(ValueError):
         N.nearest(corpus, questions, 2, way="scan")
     few = N.nearest(corpus, questions.limit(10), 2)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in few and "FlatMapCoGroups" not in few
 
 
-@pytest.mark.parametrize("way", ["scan", "grid"])
+def test_storage_that_python_cannot_open(spark, monkeypatch):
+    monkeypatch.setattr(N, "SCAN_ROWS", 10)
+    monkeypatch.setattr(N, "readable", lambda path: False)
+    corpus, questions = frame(spark, vectors(20, 4, 6), "id"), frame(spark, vectors(11, 4, 7), "qid")
+    found = N.nearest(corpus, questions, 2)
+    assert "FlatMapCoGroups" in found._jdf.queryExecution().executedPlan().toString()
+    assert collected(found) == collected(N.nearest(corpus, questions, 2, way="grid"))
+    with pytest.raises(ValueError):
+        N.nearest(corpus, questions, 2, way="stream")
+
+
+@pytest.mark.parametrize("way", ["scan", "stream", "grid"])
 def test_own_rows_can_be_skipped(spark, way):
     rows = vectors(40, 4, 9, copies=10)
     found = N.nearest(frame(spark, rows, "id"), frame(spark, rows, "qid"), 3, way=way, skip_same_id=True)
@@ -147,7 +166,7 @@ def test_bad_arguments(spark):
 
 def test_no_corpus_or_no_questions(spark):
     df, other = frame(spark, vectors(3, 4, 8), "id"), frame(spark, vectors(3, 4, 8), "qid")
-    for way in ("scan", "grid"):
+    for way in ("scan", "stream", "grid"):
         assert N.nearest(df.limit(0), other, way=way).collect() == []
         assert N.nearest(df, other.limit(0), way=way).collect() == []
 
@@ -170,7 +189,7 @@ def test_latest(spark):
     assert tuple(latest(df, "t", ["id"]).first()) == ("a", 2, 3)
 
 
-@pytest.mark.parametrize("way", ["scan", "grid"])
+@pytest.mark.parametrize("way", ["scan", "stream", "grid"])
 @pytest.mark.parametrize("metric", ["cosine", "l2", "relevance"])
 def test_vectors_without_a_score_erase_nothing(spark, metric, way):
     bad = [(10, [None, 1.0]), (11, [float("nan"), 0.0]), (12, [float("inf"), 1.0])]

@@ -1,7 +1,7 @@
 """Sections to chunks: greedy merge, recursive split, minimum length, one row per chunk.
 
-All steps work inside one row, so chunking needs no shuffle. Only texts above the chunk size leave
-the JVM, and only when the recursive splitter is asked for.
+All steps work inside one row, so chunking needs no shuffle. Only texts with an unbroken word above the chunk size
+leave the JVM, and only when the recursive splitter is asked for.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passagework.functions import html as H
+from passagework.functions.spans import has_long_word, split_text
 from passagework.functions.splitting import SEPARATORS, split_spans
 from passagework.functions.text import bind, strip, token_count
 from passagework.operators.rows import compute_once, explode_present
@@ -79,8 +80,8 @@ def split_long(
 ) -> Column:
     """Split the chunks of ``max_tokens`` or more into overlapping chunks of at most ``max_tokens``.
 
-    Arrays the splitter would leave as they are pass through in the JVM; it sees null in their place.
-    Other separators than the default send every array to it.
+    The JVM splits whatever has blanks to split at (``functions.spans``). Only arrays with an overlong unbroken word, which is cut
+    between characters, go to Python, where null stands for all others. Other separators than the default send every array there.
     """
     if not 0 <= overlap < max_tokens:
         raise ValueError("overlap must be at least 0 and below max_tokens")
@@ -96,16 +97,22 @@ def split_long(
             out.append([{"content": c, "n_tokens": n} for part in parts for c, n in part])
         return pa.array(out, _ARROW_CHUNKS)
 
-    def may_split(chunk: Column) -> Column:
+    def for_python(chunk: Column) -> Column:
         # A text without any blank is cut between characters, whatever its token count.
         unbroken = ~chunk["content"].rlike("[ \\n]") & (F.length(chunk["content"]) > max_tokens)
-        return (chunk["n_tokens"] >= max_tokens) | unbroken
+        return unbroken | ((chunk["n_tokens"] >= max_tokens) & has_long_word(chunk["content"], max_tokens))
 
-    if tuple(separators) == SEPARATORS:
-        is_long = F.coalesce(F.exists(chunks, may_split), F.lit(False))
-    else:
-        is_long = chunks.isNotNull()
-    return F.when(is_long, split(F.when(is_long, chunks))).otherwise(chunks)
+    if tuple(separators) != SEPARATORS:
+        return split(chunks)
+
+    def one(chunk: Column) -> Column:
+        return F.when(chunk["n_tokens"] >= max_tokens, split_text(chunk["content"], max_tokens, overlap)).otherwise(F.array(chunk))
+
+    left = F.coalesce(F.exists(chunks, for_python), F.lit(False))
+    # Long texts are split in the JVM; arrays without any pass as they are.
+    is_long = F.coalesce(F.exists(chunks, lambda c: c["n_tokens"] >= max_tokens), F.lit(False))
+    native = F.when(is_long, F.flatten(F.transform(chunks, one))).otherwise(chunks)
+    return F.when(left, split(F.when(left, chunks))).otherwise(native)
 
 
 def split_with_tokenizer(
@@ -174,7 +181,8 @@ def chunk_html(
 ) -> DataFrame:
     """Article HTML to chunk rows: sections, merge, split, minimum length, explode.
 
-    ``overlap=None`` leaves out the recursive splitter; the plan then has no Python step at all.
+    ``overlap=None`` leaves out the recursive splitter, so a single section may stay above ``max_tokens``; the plan then has no
+    Python step at all.
     """
     texts = F.transform(
         H.sections(F.col(html_col), mark, titled), lambda s: H.section_text(s["header"], s["content"])
@@ -189,7 +197,7 @@ def chunk_text(
     keep: list[str],
     min_tokens: int = 20,
     max_tokens: int = 400,
-    overlap: int | None = None,
+    overlap: int | None = 50,
 ) -> DataFrame:
     """Plain text to chunk rows, with lines as sections. ``overlap`` as in ``chunk_html``."""
     chunks = merge_sections(F.split(F.col(text_col), "\n"), max_tokens)

@@ -15,11 +15,12 @@ from passagework.functions import text as X
 from passagework.operators import chunking as C
 from passagework.operators import context as K
 from passagework.operators import embedding as B
+from passagework.operators import inverted as V
 from passagework.operators import ranking as W
 from passagework.operators import retrieval as R
 from passagework.operators import scoring as S
 from passagework.operators.nearest import nearest
-from passagework.operators.rows import explode_present
+from passagework.operators.rows import compute_once, explode_present
 from passagework.plans.ingest import extract_articles, page_chunks
 from passagework.plans.qa import answer
 from passagework.session import scratch_path, stage
@@ -149,10 +150,8 @@ def header_sections(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def html_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages to chunks with paragraphs as sections, in the JVM throughout."""
-    return page_chunks(
-        _spread(spark, sf, "pages"), ["page_id", "url"], native=True, mark="p", titled=False, overlap=None
-    )
+    """Pages to chunks with paragraphs as sections."""
+    return page_chunks(_spread(spark, sf, "pages"), ["page_id", "url"], native=True, mark="p", titled=False)
 
 
 @_query
@@ -180,12 +179,19 @@ def token_windows(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def section_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """The merge alone, without the splitter."""
+    return C.chunk_text(_spread(spark, sf, "documents"), "text", ["doc_id"], overlap=None)
+
+
+@_query
+def text_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents to chunks: lines merged, split with overlap, filtered."""
     return C.chunk_text(_spread(spark, sf, "documents"), "text", ["doc_id"])
 
 
 @_query
 def recursive_split(spark: SparkSession, sf: str) -> DataFrame:
-    staged = _spread(spark, sf, "documents").select("doc_id", C.whole_text(F.col("text")).alias("whole"))
+    staged = compute_once(_spread(spark, sf, "documents"), ["doc_id"], whole=C.whole_text(F.col("text")))
     return C.explode_chunks(staged, C.split_long(F.col("whole")), ["doc_id"])
 
 
@@ -195,7 +201,7 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     out = scratch_path(spark, "stream")
     run = stream_page_chunks(
         spark, sf, _plain(spark, sf, "pages").schema, f"{out}/chunks", f"{out}/checkpoint", ["page_id", "url"],
-        files="pages.parquet", native=True, mark="p", titled=False, overlap=None,
+        files="pages.parquet", native=True, mark="p", titled=False,
     )
     run.awaitTermination()
     return spark.read.parquet(f"{out}/chunks")
@@ -254,20 +260,22 @@ def knn_label_vote(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def abstain_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """Every vector as a question, and beside each one that is not a number anywhere and so has no hit."""
+    corpus = _spread(spark, sf, "embeddings")
+    asked = _plain(spark, sf, "embeddings").select(F.col("vec_id").alias("qid"), "embedding")
+    blank = F.transform("embedding", lambda x: x * F.lit(float("nan")).cast("float")).alias("embedding")
+    asked = asked.unionByName(asked.select((-1 - F.col("qid")).alias("qid"), blank))
     labels = _plain(spark, sf, "embeddings").select("vec_id", F.col("label").cast("string").alias("label"))
-    hits = _neighbours(spark, sf, 3, skip_same_id=True).join(labels, "vec_id")
-    return S.abstain(
-        hits, "qid", "score", 0.4, F.min_by("label", "rk"), "I do not know.",
-        questions=_plain(spark, sf, "embeddings").select(F.col("vec_id").alias("qid")),
-    )
+    hits = nearest(corpus, asked, 3, corpus_id="vec_id", question_id="qid", skip_same_id=True).join(labels, "vec_id")
+    return S.abstain(hits, "qid", "score", 0.4, F.min_by("label", "rk"), "I do not know.", questions=asked.select("qid"))
 
 
 # --- retrieval and answers ---------------------------------------------------------------------------
 
 
 def _document_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    chunks = C.chunk_text(_spread(spark, sf, "documents"), "text", ["doc_id"])
-    return chunks.select(R.chunk_key("doc_id").alias("chunk_id"), "doc_id", "content")
+    chunks = C.chunk_text(_spread(spark, sf, "documents"), "text", ["doc_id", "lang", "source"])
+    return chunks.select(R.chunk_key("doc_id").alias("chunk_id"), "doc_id", "lang", "source", "content")
 
 
 def _index(spark: SparkSession, sf: str) -> R.Index:
@@ -279,7 +287,11 @@ def _index(spark: SparkSession, sf: str) -> R.Index:
 
 
 def _questions(spark: SparkSession, sf: str) -> DataFrame:
-    return _plain(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("question"))
+    """The benchmark's items, and of each one without any word and one of a single unheard word."""
+    items = _plain(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("question"))
+    mute = items.select((-1 - F.col("qid")).alias("qid"), F.regexp_replace("question", X.TOKEN_PATTERN, "-").alias("question"))
+    unheard = items.select((F.col("qid") + 1_000_000_000).alias("qid"), F.concat(F.lit("zq"), F.md5("question")).alias("question"))
+    return items.unionByName(mute).unionByName(unheard)
 
 
 @_query
@@ -300,6 +312,20 @@ def retrieve_passages(spark: SparkSession, sf: str) -> DataFrame:
     return hits.select("qid", "rk", "chunk_id", "doc_id", "score", "content")
 
 
+@_query
+def retrieve_relevance(spark: SparkSession, sf: str) -> DataFrame:
+    """Text questions by relevance score, which ranks all chunks, matching or not."""
+    return R.retrieve(_questions(spark, sf), _index(spark, sf), 2, metric="relevance")
+
+
+@_query
+def retrieve_inverted(spark: SparkSession, sf: str) -> DataFrame:
+    """The hits of ``retrieve_passages`` from postings, reading only levels that can matter."""
+    index = _index(spark, sf)
+    postings = V.write_postings(index, scratch_path(spark, "postings"))
+    return V.retrieve_by_postings(_questions(spark, sf), index, postings, 10)
+
+
 @_query
 def stuff_context(spark: SparkSession, sf: str) -> DataFrame:
     hits = R.retrieve_chunks(_questions(spark, sf), _index(spark, sf), ["content"], 2)
@@ -318,6 +344,14 @@ def retrieval_qa(spark: SparkSession, sf: str) -> DataFrame:
     return answered.select("qid", "question", "output_text", sources.alias("sources"))
 
 
+@_query
+def qa_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents behind the answers, a row each, with all their metadata."""
+    answered = answer(_questions(spark, sf), _index(spark, sf), "doc_id", prompts.FROM_PASSAGES)
+    each = answered.select("qid", F.explode("input_documents").alias("d"))
+    return each.select("qid", "d.rk", "d.content", "d.metadata.chunk_id", "d.metadata.doc_id", "d.metadata.lang", "d.metadata.source")
+
+
 @_query
 def answer_report(spark: SparkSession, sf: str) -> DataFrame:
     answered = answer(_questions(spark, sf), _index(spark, sf), "doc_id", prompts.FROM_PASSAGES)

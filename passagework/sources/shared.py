@@ -9,6 +9,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
+from pyspark.sql import SparkSession
 
 
 def opened(path: str) -> tuple[pafs.FileSystem, str]:
@@ -38,3 +39,10 @@ class SharedParquet:
         for name in sorted(f.path for f in found if f.base_name.endswith(".parquet") and f.base_name[0] not in "._"):
             with fs.open_input_file(name) as file:
                 yield from pq.ParquetFile(file).iter_batches(rows, columns=columns)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote, wherever Spark can write."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

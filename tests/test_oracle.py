@@ -7,7 +7,7 @@ import __spark_entry__ as entry_module
 from passagework.plans.oracle import ORACLE
 from passagework.plans.registry import QUERIES
 
-WITHOUT_SQL = {"recursive_split", "html_chunks_split"}
+WITHOUT_SQL: set[str] = set()
 
 
 def canonical(df: pd.DataFrame) -> list:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from html.entities import name2codepoint
+from html.entities import html5
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -93,35 +93,56 @@ def article_html(html: Column, parser: Column, selector: Selector = ARTICLE) ->
     return F.when(parser, parse(F.when(parser, html))).otherwise(article_native(html, selector))
 
 
+# Numbers 128 to 159 mean Windows-1252 characters; the five that it leaves out stay as they are.
+_WINDOWS = [bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)]
+# Names that also count without their semicolon; where several fit, the longest does.
+_BARE = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+
+
 def _code_point(number: Column) -> Column:
     """The character of a code point; the replacement character for an invalid one."""
     valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
     utf32 = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-    return F.when(valid, utf32).otherwise(F.lit("�"))
+    windows = F.substr(F.lit("".join(_WINDOWS)), number - F.lit(127), F.lit(1))
+    return F.when(number.between(128, 159), windows).when(valid, utf32).otherwise(F.lit("�"))
 
 
 def decode_entities(text: Column) -> Column:
-    """Character references to characters, in one pass: ``&amp;lt;`` becomes ``&lt;``, not ``<``."""
-    # One constant text folds to one map; hundreds of literals would slow down every planning step.
-    table = [(name, chr(code)) for name, code in name2codepoint.items()] + [("apos", "'")]
-    named = F.str_to_map(F.lit("\x01".join(f"{n}\x02{c}" for n, c in table)), F.lit("\x01"), F.lit("\x02"))
-    reference = r"^(#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);"
+    """Character references to characters, in one pass: ``&amp;lt;`` becomes ``&lt;``, not ``<``.
+
+    All names of HTML 5, the old ones among them and numbers also without a semicolon, as a browser reads text.
+    """
+    # One constant text folds to one map; thousands of literals would slow down every planning step.
+    named = F.str_to_map(F.lit("\x01".join(f"{n}\x02{c}" for n, c in html5.items())), F.lit("\x01"), F.lit("\x02"))
+    reference = r"^(#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[A-Za-z][A-Za-z0-9]{0,31};?)"
+    bare = f"^({'|'.join(_BARE)})"
+    # the map is searched from its start, so the references met most are tested first
+    usual = [(f"{n};", html5[f"{n};"]) for n in ("amp", "lt", "gt", "quot", "nbsp")]
 
     def significant(name: Column, start: int) -> Column:
         """The digits without leading zeros; more than seven are no character."""
-        digits = F.ltrim(F.substr(name, F.lit(start)), F.lit("0"))
+        digits = F.ltrim(F.rtrim(F.substr(name, F.lit(start)), F.lit(";")), F.lit("0"))
         return F.when(F.length(digits) > 7, F.lit("0")).otherwise(F.concat(F.lit("0"), digits))
 
     def piece(part: Column) -> Column:
+        def with_rest(char: Column, length: Column) -> Column:
+            return F.concat(char, F.substr(part, length + F.lit(1)))
+
+        def by_name(name: Column) -> Column:
+            known = F.try_element_at(named, name)
+            for n, c in usual:
+                known = F.when(name == n, F.lit(c)).otherwise(known)
+            prefix = bind(F.regexp_extract(part, bare, 1), lambda b: F.when(b != "", with_rest(F.try_element_at(named, b), F.length(b))))
+            return F.coalesce(with_rest(known, F.length(name)), prefix)
+
         def replaced(name: Column) -> Column:
-            char = (
+            found = (
                 F.when(name == "", F.lit(None).cast("string"))
-                .when(F.lower(name).startswith("#x"), _code_point(F.conv(significant(name, 3), 16, 10).cast("int")))
-                .when(name.startswith("#"), _code_point(significant(name, 2).try_cast("int")))
-                .otherwise(F.try_element_at(named, name))
+                .when(F.lower(name).startswith("#x"), with_rest(_code_point(F.conv(significant(name, 3), 16, 10).cast("int")), F.length(name)))
+                .when(name.startswith("#"), with_rest(_code_point(significant(name, 2).try_cast("int")), F.length(name)))
+                .otherwise(by_name(name))
             )
-            rest = F.substr(part, F.length(name) + F.lit(2))
-            return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), part))
+            return F.coalesce(found, F.concat(F.lit("&"), part))
 
         return bind(F.regexp_extract(part, reference, 1), replaced)
 

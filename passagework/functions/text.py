@@ -38,25 +38,39 @@ def token_count(text: Column) -> Column:
     return F.array_size(F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0)))
 
 
+def _token_parts(text: Column) -> Column:
+    """The text up to its last token in parts, each a token with what stands before it."""
+    return F.regexp_extract_all(text, F.lit(r"[^\p{L}\p{N}]*[\p{L}\p{N}]+"), F.lit(0))
+
+
 def truncate_tokens(text: Column, limit: int) -> Column:
-    """The first ``limit`` tokens, joined by one space."""
-    return F.array_join(F.slice(tokens(text), 1, limit), " ")
+    """The text as it stands up to the end of its token number ``limit``; all of it if it has no more tokens."""
+
+    def cut(parts: Column) -> Column:
+        return F.when(F.array_size(parts) <= limit, text).otherwise(F.array_join(F.slice(parts, 1, limit), ""))
+
+    return bind(_token_parts(text), cut)
 
 
 def token_windows(text: Column, size: int = 400, overlap: int = 50) -> Column:
-    """Fixed-size token windows; neighbours share ``overlap`` tokens. No tokens, no window."""
+    """Windows of ``size`` tokens; neighbours share ``overlap`` tokens. No tokens, no window.
+
+    A window is the text as it stands from its first token to its last.
+    """
     if not 0 <= overlap < size:
         raise ValueError("overlap must be at least 0 and below size")
     step = size - overlap
 
-    def windows(words: Column) -> Column:
-        last = F.greatest(F.array_size(words) - F.lit(overlap + 1), F.lit(0))
+    def windows(parts: Column) -> Column:
+        last = F.greatest(F.array_size(parts) - F.lit(overlap + 1), F.lit(0))
         starts = F.sequence(F.lit(0), last, F.lit(step))
-        return F.when(F.array_size(words) == 0, F.array().cast("array<string>")).otherwise(
-            F.transform(starts, lambda s: F.array_join(F.slice(words, s + F.lit(1), F.lit(size)), " "))
-        )
 
-    return bind(tokens(text), windows)
+        def window(s: Column) -> Column:
+            return F.regexp_replace(F.array_join(F.slice(parts, s + F.lit(1), F.lit(size)), ""), r"^[^\p{L}\p{N}]+", "")
+
+        return F.when(F.array_size(parts) > 0, F.transform(starts, window)).when(parts.isNotNull(), F.array().cast("array<string>"))
+
+    return bind(_token_parts(text), windows)
 
 
 def sentences(text: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passagework.functions.templates import render
-from passagework.functions.text import bind, sentences, tokens
+from passagework.functions.text import bind, sentences, token_count, tokens
 from passagework.operators.ranking import top_k
 from passagework.operators.rows import compute_once
 
@@ -69,6 +69,46 @@ def batch_score(df: DataFrame, scorer: Scorer, columns: Sequence[str], out: str)
     return df.withColumn(out, udf(*(F.col(c) for c in columns)))
 
 
+def batch_score_by_length(df: DataFrame, scorer: Scorer, key: str, text: str, out: str, budget: int) -> DataFrame:
+    """``key, out`` of every row, in batches of like length.
+
+    A model pads a batch to its longest text, so a batch costs its rows times the tokens of that text. Rows are ordered by length
+    within their partition, without a shuffle, and a batch is closed before it would cost more than ``budget`` tokens; a
+    longer text stands alone. Null texts get null and are not scored. Keys may repeat.
+    """
+    scorer.check(df, [text])
+    load, name, arrow_type = scorer.load, scorer.name, _arrow_type(scorer.output)
+    counted = df.select(key, text, F.coalesce(token_count(F.col(text)), F.lit(0)).alias("__n")).sortWithinPartitions("__n")
+    schema = T.StructType([df.select(key).schema[0], T.StructField(out, scorer.output)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = load()
+        keys: list[pa.Array] = []
+        texts: list[str] = []
+
+        def close() -> pa.RecordBatch:
+            results = list(score(texts))
+            if len(results) != len(texts):
+                raise ValueError(f"{name} returned {len(results)} results for {len(texts)} rows")
+            return pa.RecordBatch.from_arrays([pa.concat_arrays(keys), pa.array(results, arrow_type)], [key, out])
+
+        for batch in batches:
+            for i, (value, n) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+                own = batch.column(0).slice(i, 1)
+                if value is None:
+                    yield pa.RecordBatch.from_arrays([own, pa.nulls(1, arrow_type)], [key, out])
+                    continue
+                if texts and (len(texts) + 1) * max(n, 1) > budget:
+                    yield close()
+                    keys, texts = [], []
+                keys.append(own)
+                texts.append(value)
+        if texts:
+            yield close()
+
+    return counted.mapInArrow(run, schema)
+
+
 def _arrow_type(data_type: T.DataType) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 

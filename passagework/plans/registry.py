@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
+from html.entities import html5
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +13,7 @@ from pyspark.sql import functions as F
 from passagework.catalog import drop_table, overwrite_table
 from passagework.functions import html as H
 from passagework.functions import templates as P
+from passagework.functions import udtf
 from passagework.plans import prompts
 from passagework.functions import text as X
 from passagework.operators import chunking as C
@@ -25,7 +29,7 @@ from passagework.plans.ingest import extract_articles, page_chunks
 from passagework.plans.qa import answer
 from passagework.session import scratch_path, stage
 from passagework.sources.tables import attach_payload, first_n, pick_split, read_parquet
-from passagework.sources.xml import read_sitemap, read_xml_rows, write_sitemap, write_xml_rows
+from passagework.sources.xml import read_sitemap, read_xml_splits, write_sitemap, write_xml_rows
 from passagework.streaming.ingest import stream_page_chunks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,12 +63,15 @@ def source_first_n(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def payload_left_join(spark: SparkSession, sf: str) -> DataFrame:
-    """A crawl list of all landed addresses and all links found in them, with the landed payload."""
+    """A crawl list of all landed addresses and all links found in them, with the payload from a landing table bucketed by address."""
     pages = _plain(spark, sf, "pages")
     host = F.regexp_extract("url", "^(https?://[^/]+)", 1)
     links = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
     found = pages.select(F.explode(F.transform(links, lambda h: F.concat(host, h))).alias("url"))
-    return attach_payload(pages.select("url").unionAll(found), pages)
+    name = f"passagework_landing_{uuid.uuid4().hex}"
+    landing = overwrite_table(pages.select("url", "html"), name, scratch_path(spark, "landing"), bucket_by="url", buckets=8)
+    drop_table(spark, name)  # the files stay, and the table that was read from them
+    return attach_payload(pages.select("url").unionAll(found), landing, buckets=8)
 
 
 @_query
@@ -87,7 +94,7 @@ def xml_rows(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "posts")
     events = _plain(spark, sf, "events")
     write_xml_rows(events.select(F.col("event_id").alias("Id"), "user_id", "event_type", "value", "props"), path)
-    rows = read_xml_rows(spark, path, columns=["Id", "user_id", "event_type", "value", "props"])
+    rows = read_xml_splits(spark, path, columns=["Id", "user_id", "event_type", "value", "props"])
     return rows.select(
         F.col("Id").try_cast("bigint").alias("event_id"),
         F.col("user_id").try_cast("bigint").alias("user_id"),
@@ -195,6 +202,22 @@ def recursive_split(spark: SparkSession, sf: str) -> DataFrame:
     return C.explode_chunks(staged, C.split_long(F.col("whole")), ["doc_id"])
 
 
+@_query
+def recursive_split_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """``recursive_split`` in SQL, by the table function."""
+    udtf.register(spark)
+    _spread(spark, sf, "documents").select("doc_id", F.trim("text").alias("text")).createOrReplaceTempView("passagework_documents")
+    return spark.sql("SELECT d.doc_id, c.* FROM passagework_documents d, LATERAL split_text(d.text, 400, 50) c")
+
+
+@_query
+def entity_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's text after one of the character references, each name in turn."""
+    names = F.array(*map(F.lit, sorted(html5)))
+    text = F.concat(F.lit("&"), F.get(names, (F.col("doc_id") % len(html5)).cast("int")), F.lit(" "), F.replace("text", F.lit("&"), F.lit("+")))
+    return _plain(spark, sf, "documents").select("doc_id", H.decode_entities(text).alias("text"))
+
+
 @_query
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """``html_chunks`` from a stream over the landing folder."""
@@ -420,6 +443,26 @@ def score_compare(spark: SparkSession, sf: str) -> DataFrame:
     return S.join_scores(scored, gold, "doc_id").select("doc_id", "text", "model_summary", "gold")
 
 
+@_query
+def score_by_length(spark: SparkSession, sf: str) -> DataFrame:
+    """A scorer whose batches cost 20,000 tokens at most, padding included; it fails on a dearer one of several texts."""
+    plain = S.lead_scorer(12)
+
+    def load() -> Callable[[list[str]], list[str]]:
+        score = plain.load()
+
+        def run(texts: list[str]) -> list[str]:
+            cost = len(texts) * max(len(re.findall(r"[^\W_]+", t)) for t in texts)
+            if len(texts) > 1 and cost > 20_000:
+                raise ValueError(f"a batch of {cost} tokens")
+            return score(texts)
+
+        return run
+
+    docs = _spread(spark, sf, "documents")
+    return S.batch_score_by_length(docs, S.Scorer("first tokens", load), "doc_id", "text", "model_summary", 20_000)
+
+
 @_query
 def prompt_and_score(spark: SparkSession, sf: str) -> DataFrame:
     """Template and scorer in one step over every user turn."""

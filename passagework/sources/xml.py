@@ -42,6 +42,32 @@ def read_xml_rows(
     return df.select(*(F.col(f"`{c}`").alias(c[1:]) for c in attributes))
 
 
+def read_xml_splits(
+    spark: SparkSession, path: str, tag: str = "row", columns: Sequence[str] | None = None
+) -> DataFrame:
+    """``read_xml_rows`` for large files: one file is read by many tasks.
+
+    Spark's text reader cuts a file at every ``<tag``, wherever its splits lie, so each record is the rest of one start tag
+    and what follows it. The start tag alone is parsed, by Spark's XML functions. Malformed start tags fail the job. A
+    comment or CDATA section that holds such a tag is not told apart from an element.
+    """
+    attribute = r"""\s+[\w:.\-]+\s*=\s*(?:"[^"<]*"|'[^'<]*')"""
+    records = spark.read.option("lineSep", f"<{tag}").text(path)
+    # what stands before a file's first element, and tags with longer names, are none
+    records = records.where(F.col("value").rlike(r"^(?:\s+[^\s<]|\s*/?>)"))
+    whole = F.regexp_extract("value", rf"^((?:{attribute})*)\s*/?>", 1)
+    bad = F.raise_error(F.concat(F.lit("Malformed XML element: "), F.lit(f"<{tag}"), F.substr("value", F.lit(1), F.lit(200))))
+    starts = records.select(F.when(F.col("value").rlike(rf"^(?:{attribute})*\s*/?>"), whole).otherwise(bad).alias("attributes"))
+    if columns is None:
+        name = F.regexp_extract_all("attributes", F.lit(r"""\s+([\w:.\-]+)\s*=\s*(?:"[^"<]*"|'[^'<]*')"""), F.lit(1))
+        columns = sorted(r[0] for r in starts.select(F.explode(name)).distinct().collect())
+    schema = ", ".join(f"`_{c}` string" for c in columns)
+    options = {"mode": "FAILFAST", "ignoreSurroundingSpaces": "false", "valueTag": "inner"}
+    row = F.from_xml(F.concat(F.lit(f"<{tag}"), F.col("attributes"), F.lit("/>")), schema, options)
+    parsed = starts.select(row.alias("row"))
+    return parsed.select(*(F.col(f"row.`_{c}`").alias(c) for c in columns))
+
+
 def read_sitemap(spark: SparkSession, path: str) -> DataFrame:
     """The addresses of a sitemap as ``url``."""
     schema = T.StructType([T.StructField("loc", T.StringType())])

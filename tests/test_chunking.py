@@ -66,6 +66,16 @@ def test_windows(spark):
         X.token_windows(F.lit("a"), 4, 4)
 
 
+def test_cuts_keep_the_text(spark):
+    text = " «One», TWO!  three\n(four) -- Five. "
+    df = spark.createDataFrame([(text,), ("...",), ("",), (None,)], "t string")
+    cut = lambda n: [r[0] for r in df.select(X.truncate_tokens(F.col("t"), n)).collect()]
+    assert cut(2) == [" «One», TWO", "...", "", None]
+    assert cut(5) == [text, "...", "", None]
+    windows = [r[0] for r in df.select(X.token_windows(F.col("t"), 3, 1)).collect()]
+    assert windows == [["One», TWO!  three", "three\n(four) -- Five"], [], [], None]
+
+
 def test_token_patterns_agree(spark):
     """The JVM's letters and digits and Python's, over every assigned character both know."""
     import unicodedata

@@ -70,7 +70,7 @@ def test_container_helper_closes_what_was_left_open():
 
 def test_clean_text(spark):
     html = "<p>A <b>b</b>old</p><style>p{}</style><!-- c --><p>two<br>lines &lt;i&gt; &amp;lt; &#233;&#xe9; &nope; &copy</p>"
-    assert one(spark, html, H.clean_text(F.col("v"))) == "A bold\ntwo\nlines <i> &lt; éé &nope; &copy"
+    assert one(spark, html, H.clean_text(F.col("v"))) == "A bold\ntwo\nlines <i> &lt; éé &nope; ©"
     assert one(spark, None, H.clean_text(F.col("v"))) is None
     assert one(spark, "2 < 3 and 4 > 1", H.clean_text(F.col("v"))) == "2 < 3 and 4 > 1"
 
@@ -80,6 +80,18 @@ def test_entities(spark):
     assert one(spark, text, H.decode_entities(F.col("v"))) == "😀 � � � … & &; &amp; '"
 
 
+def test_entities_equal_the_standard_library(spark):
+    """All names of HTML 5, old ones without a semicolon and inside longer words, and Windows-1252 numbers."""
+    import html
+    from html.entities import html5
+
+    texts = [f"a &{n} b" for n in html5] + [f"&{n}x1;" for n in html5 if not n.endswith(";")]
+    texts += [f"&#{n}; &#x{n:X} z" for n in [*range(128, 160), 65, 233, 8364, 128512]] + ["&notit; &notin; &ampamp; &AMP &amplt;", "&#150 &#x96 &#00150;"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, v string")
+    found = {r.i: r.t for r in df.select("i", H.decode_entities(F.col("v")).alias("t")).collect()}
+    assert {texts[i]: t for i, t in found.items()} == {t: html.unescape(t) for t in texts}
+
+
 def test_sections(spark):
     html = "<div>lead<h2>One</h2><p>first</p><h2 id='x'>Two <i>b</i></h2><h2>Three</h2>last<script>'<h2>'</script></div>"
     rows = one(spark, html, H.sections(F.col("v")))

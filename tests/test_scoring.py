@@ -31,6 +31,19 @@ def test_batch_score_with_several_inputs(spark):
     assert sorted(S.batch_score(df, scorer, ["a", "b"], "o").collect(), key=str) == [(1.5, 2.0, 3.0), (None, 1.0, None)]
 
 
+def test_batches_of_like_length(spark):
+    """Each batch costs its longest text times its rows, at most the budget; keys may repeat, nulls are not scored."""
+    rows = [(i % 30, " ".join(["w"] * (i * 37 % 41))) for i in range(200)] + [(5, None), (6, "long " * 500), (7, "")]
+    cost = S.Scorer("cost", lambda: lambda texts: [f"{len(texts)} {max(len(t.split()) for t in texts)}" for t in texts])
+    df = spark.createDataFrame(rows, "id int, t string").repartition(3)
+    out = S.batch_score_by_length(df, cost, "id", "t", "o", 60)
+    assert out.columns == ["id", "o"]
+    found = out.collect()
+    assert sorted(r.id for r in found) == sorted(i for i, _ in rows)
+    costs = [tuple(map(int, r.o.split())) for r in found if r.o]
+    assert len(costs) == len(rows) - 1 and all(n * most <= 60 or n == 1 for n, most in costs) and max(n for n, _ in costs) > 3
+
+
 def test_contract(spark):
     df = spark.createDataFrame([(1, "a")], "id int, t string")
     with pytest.raises(TypeError):

@@ -61,6 +61,37 @@ def test_a_bad_element(spark, tmp_path, columns):
         XM.read_xml_rows(spark, path, columns=columns).collect()
 
 
+@pytest.mark.parametrize("columns", [None, ["Id", "Score", "Title", "Body"]])
+def test_splits_read_what_the_whole_file_reader_reads(spark, posts, columns):
+    whole, split = XM.read_xml_rows(spark, posts, columns=columns), XM.read_xml_splits(spark, posts, columns=columns)
+    assert sorted(split.columns) == sorted(whole.columns)
+    assert sorted(map(str, split.select(*whole.columns).collect())) == sorted(map(str, whole.collect()))
+
+
+def test_one_file_is_read_by_several_tasks(spark, tmp_path):
+    """Elements of any form and length, wherever a split ends; tags with longer names are none."""
+    texts = ["a &lt;row b", "x" * 900, "", "&#10;line &quot;q&quot;", "it's > 1", "é𝄞 &amp;amp;"]
+    rows = [f"""<row Id="{i}"\n Body = "{texts[i % 6]}" Other='{i % 3}"'{"/>" if i % 2 else ">text<b/></row>"}""" for i in range(3000)]
+    (tmp_path / "big.xml").write_text("<?xml version='1.0'?>\n<rows>" + "\n<rowing Id='no'/>".join(rows) + "</rows>\n", encoding="utf-8")
+    path, key = str(tmp_path / "big.xml"), "spark.sql.files.maxPartitionBytes"
+    wanted = sorted(map(str, XM.read_xml_rows(spark, path).collect()))
+    before = spark.conf.get(key)
+    spark.conf.set(key, "20000")
+    try:
+        found = XM.read_xml_splits(spark, path)
+        parts = found.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert parts > 8 and sorted(map(str, found.collect())) == wanted and len(wanted) == 3000
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_a_bad_element_fails_the_split_reader(spark, tmp_path):
+    (tmp_path / "bad.xml").write_text('<posts>\n<row Id="1" Score="2" />\n<row Id="9" Score=5 />\n</posts>')
+    for columns in (None, ["Id"]):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            XM.read_xml_splits(spark, str(tmp_path / "bad.xml"), columns=columns).collect()
+
+
 def test_sitemap(spark, sitemap):
     assert sorted(r.url for r in XM.read_sitemap(spark, sitemap).collect()) == [
         "https://a.example/1",
@@ -105,6 +136,33 @@ def test_a_hot_address_keeps_every_row(spark):
     assert {r.html: r["count"] for r in rows} == {"h": 1000, "x": 1, None: 1999}
 
 
+def test_payloads_stay_in_their_buckets(spark, monkeypatch, tmp_path):
+    """No exchange of payloads beside a bucketed landing table, and a hot address's copies are made by many tasks."""
+    monkeypatch.setattr(S, "COPIES", 100)
+    landing = spark.createDataFrame([(f"u{i}", f"payload {i}") for i in range(50)], "url string, html string")
+    table = catalog.overwrite_table(landing, "passagework_test_landing", str(tmp_path / "landing"), bucket_by="url", buckets=4)
+    urls = spark.range(4000).selectExpr("CASE WHEN id % 4 < 3 THEN 'u7' WHEN id % 8 = 3 THEN concat('u', id % 90) END AS url")
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        rows = S.attach_payload(urls, table, buckets=4)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in plan.split("\n") if "FileScan" in line]
+        assert scans and all("Bucketed: true" in line for line in scans)
+        for before in plan.split("FileScan")[:-1]:  # the scan's last steps up to its join
+            assert "Exchange" not in before[before.rindex("+- Sort") :]
+        found = {(r.url, r.html): r["count"] for r in rows.groupBy("url", "html").count().collect()}
+        wanted = {(r.url, r.html): r["count"] for r in urls.join(landing, "url", "left").groupBy("url", "html").count().collect()}
+        assert found == wanted and found["u7", "payload 7"] >= 3000
+        tasks = rows.where("url = 'u7'").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert tasks > 1
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+        catalog.drop_table(spark, "passagework_test_landing")
+
+
 def test_namespace_and_tables(spark, tmp_path):
     assert catalog.current_namespace(spark, "ns_").startswith("ns_")
     name = "passagework_test"

@@ -20,9 +20,10 @@ def current_namespace(spark: SparkSession, prefix: str = "") -> str:
     return prefix + re.sub(r"\W", "_", row["part"])
 
 
-def ensure_schema(spark: SparkSession, schema: str, use: bool = False) -> None:
-    """Create a schema unless it exists, and select it if asked to."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quoted(schema)}")
+def ensure_schema(spark: SparkSession, schema: str, use: bool = False, location: str | None = None) -> None:
+    """Create a schema unless it exists, its managed tables below ``location`` if given, and select it if asked to."""
+    place = "" if location is None else f" LOCATION '{location}'"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quoted(schema)}{place}")
     if use:
         spark.catalog.setCurrentDatabase(schema)
 

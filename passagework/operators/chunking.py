@@ -178,17 +178,19 @@ def chunk_html(
     min_tokens: int = 20,
     max_tokens: int = 400,
     overlap: int | None = 50,
+    tokenizer: Callable[[], Callable[[str], int]] | None = None,
 ) -> DataFrame:
     """Article HTML to chunk rows: sections, merge, split, minimum length, explode.
 
+    All counts are those of ``tokenizer`` if one is given: a function that loads, once per task, ``text -> number of tokens``.
+
     ``overlap=None`` leaves out the recursive splitter, so a single section may stay above ``max_tokens``; the plan then has no
     Python step at all.
     """
     texts = F.transform(
         H.sections(F.col(html_col), mark, titled), lambda s: H.section_text(s["header"], s["content"])
     )
-    chunks = merge_sections(texts, max_tokens)
-    return _finish(pages, keep, chunks, min_tokens, max_tokens, overlap)
+    return _chunks(pages, keep, texts, min_tokens, max_tokens, overlap, tokenizer)
 
 
 def chunk_text(
@@ -198,15 +200,20 @@ def chunk_text(
     min_tokens: int = 20,
     max_tokens: int = 400,
     overlap: int | None = 50,
+    tokenizer: Callable[[], Callable[[str], int]] | None = None,
 ) -> DataFrame:
-    """Plain text to chunk rows, with lines as sections. ``overlap`` as in ``chunk_html``."""
-    chunks = merge_sections(F.split(F.col(text_col), "\n"), max_tokens)
-    return _finish(df, keep, chunks, min_tokens, max_tokens, overlap)
+    """Plain text to chunk rows, with lines as sections. ``overlap`` and ``tokenizer`` as in ``chunk_html``."""
+    return _chunks(df, keep, F.split(F.col(text_col), "\n"), min_tokens, max_tokens, overlap, tokenizer)
 
 
-def _finish(
-    df: DataFrame, keep: list[str], chunks: Column, min_tokens: int, max_tokens: int, overlap: int | None
+def _chunks(
+    df: DataFrame, keep: list[str], texts: Column, min_tokens: int, max_tokens: int, overlap: int | None,
+    tokenizer: Callable[[], Callable[[str], int]] | None,
 ) -> DataFrame:
+    if tokenizer is not None:
+        df = compute_once(df, keep, __texts=texts)
+        return explode_chunks(df, split_with_tokenizer(F.col("__texts"), tokenizer, max_tokens, overlap or 0, min_tokens), keep)
+    chunks = merge_sections(texts, max_tokens)
     if overlap is not None:
         df = compute_once(df, keep, __chunks=chunks)
         chunks = split_long(F.col("__chunks"), max_tokens, overlap)

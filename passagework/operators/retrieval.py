@@ -187,10 +187,24 @@ def fetch(hits: DataFrame, index: Index, columns: list[str], chunk_id: str = "ch
     if len(few) > FETCHED_IDS:
         return attach(hits, index.chunks, chunk_id, columns)
     chunks = index.chunks.select(chunk_id, *(c for c in columns if c != chunk_id))
-    wanted = chunks.where(F.col(chunk_id).isin(sorted({r[chunk_id] for r in few})))
+    wanted = chunks.where(_is_one_of(chunk_id, sorted({r[chunk_id] for r in few})))
     return F.broadcast(hits).join(wanted, chunk_id)
 
 
+def _is_one_of(column: str, values: list) -> Column:
+    """``isin`` as one parsed text; thousands of single literals take seconds to hand over."""
+    if not values:
+        return F.lit(False)
+
+    def literal(value: str | int) -> str:
+        if isinstance(value, str):
+            escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+            return f"'{escaped}'"
+        return str(int(value))
+
+    return F.expr(f"`{column}` IN ({', '.join(map(literal, values))})")
+
+
 def caller_columns(index: Index) -> list[str]:
     """The columns of the chunks that the index was given."""
     return [c for c in index.chunks.columns if c not in OWN]

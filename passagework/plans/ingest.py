@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +38,8 @@ def page_chunks(
     min_tokens: int = 20,
     max_tokens: int = 400,
     overlap: int | None = 50,
+    tokenizer: Callable[[], Callable[[str], int]] | None = None,
 ) -> DataFrame:
-    """Pages to chunk rows: ``keep`` columns, ``chunk_pos, content, n_tokens``."""
+    """Pages to chunk rows: ``keep`` columns, ``chunk_pos, content, n_tokens``. ``tokenizer`` as in ``chunk_html``."""
     articles = extract_articles(pages, keep, html, selector, native)
-    return chunk_html(articles, "article", keep, mark, titled, min_tokens, max_tokens, overlap)
+    return chunk_html(articles, "article", keep, mark, titled, min_tokens, max_tokens, overlap, tokenizer)

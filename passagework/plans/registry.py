@@ -10,7 +10,7 @@ from html.entities import html5
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagework.catalog import drop_table, overwrite_table
+from passagework.catalog import drop_table, ensure_schema, overwrite_table, publish_view
 from passagework.functions import html as H
 from passagework.functions import templates as P
 from passagework.functions import udtf
@@ -28,7 +28,7 @@ from passagework.operators.rows import compute_once, explode_present
 from passagework.plans.ingest import extract_articles, page_chunks
 from passagework.plans.qa import answer
 from passagework.session import scratch_path, stage
-from passagework.sources.tables import attach_payload, first_n, pick_split, read_parquet
+from passagework.sources.tables import attach_payload, first_n, from_values, pick_split, read_parquet
 from passagework.sources.xml import read_sitemap, read_xml_splits, write_sitemap, write_xml_rows
 from passagework.streaming.ingest import stream_page_chunks
 
@@ -167,6 +167,32 @@ def html_chunks_split(spark: SparkSession, sf: str) -> DataFrame:
     return page_chunks(_spread(spark, sf, "pages"), ["page_id", "url"], mark="h1")
 
 
+@_query
+def html_chunks_tokenizer(spark: SparkSession, sf: str) -> DataFrame:
+    """The complete chunker with a caller's tokenizer, here one of blank-separated words."""
+    pages = _spread(spark, sf, "pages")
+    return page_chunks(pages, ["page_id", "url"], native=True, mark="p", titled=False, tokenizer=lambda: lambda text: len(re.findall("[^ \t-\r]+", text)))
+
+
+@_query
+def managed_chunk_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages to a managed chunk table of a schema of its own, written twice, opened by name and read through a view."""
+    schema = f"passagework_{uuid.uuid4().hex}"
+    ensure_schema(spark, schema, location=scratch_path(spark, "schema"))
+    for _ in range(2):
+        overwrite_table(page_chunks(_spread(spark, sf, "pages"), ["page_id", "url"], mark="h1"), f"{schema}.chunks")
+    publish_view(spark.table(f"{schema}.chunks"), f"view_{schema}")
+    return spark.sql(f"SELECT page_id, url, chunk_pos, content FROM view_{schema}").toDF("page_id", "url", "chunk_pos", "content")
+
+
+@_query
+def values_payload(spark: SparkSession, sf: str) -> DataFrame:
+    """Payloads of a list of addresses from the driver: the first fifty landed ones and one that is not."""
+    pages = _plain(spark, sf, "pages")
+    known = [r["url"] for r in first_n(pages.select("url"), 50, "url").collect()]
+    return attach_payload(from_values(spark, [*known, "https://nowhere.example/"]), pages)
+
+
 @_query
 def token_count(spark: SparkSession, sf: str) -> DataFrame:
     docs = _spread(spark, sf, "documents")

@@ -129,6 +129,13 @@ def test_a_fetch_reads_only_row_groups_with_hits(spark, monkeypatch):
     assert sorted(map(str, R.fetch(hits, index, ["content"]).select(*found.columns).collect())) == sorted(map(str, found.collect()))
 
 
+def test_ids_of_any_text_are_fetched(spark):
+    rows = [("it's", "one", "p"), ('a"b\\c', "two", "p"), ("${x}\n%", "three", "p"), ("é", "four", "p")]
+    index = R.build_index(spark, chunks(spark, rows), scratch_path(spark, "odd"))
+    hits = spark.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], "qid int, chunk_id string")
+    assert sorted((r.chunk_id, r.content) for r in R.fetch(hits, index, ["content"]).collect()) == sorted(r[:2] for r in rows)
+
+
 def test_no_hits_fetch_nothing(spark):
     index = R.build_index(spark, chunks(spark), scratch_path(spark, "none"))
     found = R.retrieve_chunks(asked(spark, "zebra quark", "..."), index, ["content"])

@@ -9,20 +9,20 @@ Shards of that collection are ordered column by column, from the last symbol to
 every string's suffix: the symbols in the order of the suffixes are the collection's Burrows-Wheeler transform, and its stable
 counting sort is the next order. Common prefixes of neighbours follow along: one symbol more than the least common prefix between the two
 in the order before. After the core and ``a`` symbols of the left side, strings with a common prefix of 200 bytes
-with a neighbour have their window at ``a`` repeated. Columns are read one after the other from the shard's files. Construction
+with a neighbour have their window at ``a`` repeated. A shard is bounded and its columns are held in memory, not in external files. Construction
 over whole documents would take as many rounds, each over all suffixes, as the longest text has bytes; over cores it takes 101.
 
-Equal strings are counted before the shuffle and enter once for some texts in a row. A core that occurs more than ``HOT`` times is not put in
-one shard: its windows are counted one by one by digest, which is exact and spreads.
+Texts are scanned four times: for the filter, for the cores that occur more than ``HOT`` times, for the strings, and for the places of the
+repeated ones. Equal strings of some texts in a row enter once. A very common core is not put in one shard: each window of
+its strings is a row of its own, dealt out by its digest and counted there, which is exact and spreads.
 
 Nulls and odd input: a null text has no bytes; repeated rows are documents of their own, so they repeat each other; ids may repeat
-or be null; texts under 200 bytes stay whole. ``kept`` is bytes, as a cut may fall inside a character.
+or be null, and rows that repeat id and text gather the marks of one; texts under 200 bytes stay whole. ``kept`` is bytes, as a cut may fall inside a character.
 Other columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +44,9 @@ SIDE = LENGTH - CORE
 MAX_BITS = 30
 SHARD_BYTES = 2_000_000  # of text a shard stands for
 HOT = 60_000
-GIVEN_ROWS = 20_000  # rows a scan gives back at once
+MOST_HOT = 1_000_000  # cores treated so, the commonest first; every task has their hashes
+GIVEN_ROWS = 20_000  # strings cut at once
+HELD_ROWS = 60_000  # strings a scan compares before it gives them back
 _END = 256  # the symbol beyond a text: equal to nothing
 
 
@@ -101,24 +103,21 @@ def order_columns(columns: Iterator[tuple[np.ndarray, np.ndarray | int]], n: int
         yield order, common
 
 
-def repeated_windows(core: list[bytes], left: list[bytes], right: list[bytes]) -> np.ndarray:
+def repeated_windows(core_id: np.ndarray, sides: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """For each string, a bit for each number of left bytes at which its window is also another string's."""
-    n = len(core)
-    _, core_id = np.unique(np.array(core, dtype=object), return_inverse=True)
-    grids = []
-    for side, reverse in ((right, False), (left, True)):
-        grid = np.full((n, SIDE), _END, np.uint16)
-        for i, s in enumerate(side):
-            b = np.frombuffer(s, np.uint8)
-            grid[i, : len(b)] = b[::-1] if reverse else b
-        grids.append(np.ascontiguousarray(grid.T))
+    n = len(core_id)
+    place = np.arange(SIDE)
+    after, before = sides[:, SIDE:].astype(np.uint16), sides[:, :SIDE][:, ::-1].astype(np.uint16)
+    after[place >= right[:, None]] = _END
+    before[place >= left[:, None]] = _END
+    after, before = np.ascontiguousarray(after.T), np.ascontiguousarray(before.T)
 
     def columns() -> Iterator[tuple[np.ndarray, int]]:
         for j in range(SIDE - 1, -1, -1):
-            yield grids[0][j], 1
+            yield after[j], 1
         yield core_id.astype(np.int64) + _END + 1, CORE
         for j in range(SIDE):
-            yield grids[1][j], 1
+            yield before[j], 1
 
     mask = np.zeros(n, np.int64)
     for done, (order, common) in enumerate(order_columns(columns(), n)):
@@ -129,6 +128,39 @@ def repeated_windows(core: list[bytes], left: list[bytes], right: list[bytes]) -
     return mask
 
 
+_WEIGHTS = np.random.default_rng(13).integers(1, 2**64, (2 * SIDE + 2, 2), np.uint64, endpoint=False) | np.uint64(1)
+_OFFSETS = np.concatenate([np.arange(SIDE), np.arange(LENGTH, LENGTH + SIDE)])
+
+
+def strings_at(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the cores at some places of a text: names, digests, the bytes on either side (zeros beyond the text) and their numbers.
+
+    A name is 128 bits of the core's digest and of the sides, so equal strings have equal names.
+    """
+    raw = data.tobytes()
+    core = np.frombuffer(b"".join(xxhash.xxh3_128_digest(raw[a : a + CORE]) for a in at.tolist()), np.uint64).reshape(-1, 2)
+    padded = np.concatenate([np.zeros(SIDE, np.uint8), data, np.zeros(SIDE, np.uint8)])
+    sides = padded[at[:, None] + _OFFSETS]
+    there = np.stack([np.minimum(at, SIDE), np.minimum(len(data) - CORE - at, SIDE)], axis=1)
+    numbers = np.concatenate([sides, there.astype(np.uint8)], axis=1).astype(np.uint64)
+    return packed.mix(packed.mix(core) + numbers @ _WEIGHTS), core, sides, there
+
+
+def _grouped(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that puts equal names together, and where each name's run starts in it."""
+    order = np.lexsort((names[:, 1], names[:, 0]))
+    ordered = names[order]
+    new = np.append(True, (ordered[1:] != ordered[:-1]).any(axis=1))[: len(names)]
+    return order, np.flatnonzero(new)
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    """The rows of a matrix as byte strings."""
+    flat = np.ascontiguousarray(rows)
+    width = flat.itemsize * (flat.shape[1] if flat.ndim > 1 else 1)
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(flat), [None, pa.py_buffer(flat.tobytes())]).cast(pa.binary())
+
+
 def _hashes(docs: DataFrame) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,7 +174,7 @@ def _hashes(docs: DataFrame) -> DataFrame:
 
 
 class _Suspects:
-    """The three scans over texts: each finds the cores that the filter passes."""
+    """The scans over texts after the filter's: each finds the cores that the filter passes."""
 
     def __init__(self, docs: DataFrame) -> None:
         size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -150,10 +182,10 @@ class _Suspects:
         self.held = docs.sparkSession.sparkContext.broadcast(twice_seen(_hashes(docs), self.bits))
 
     def _texts(self):
-        """From a column of texts to each text's bytes with the places and hashes of its suspects."""
+        """From a column of texts to the bytes of each text with suspects, their places and hashes."""
         held, bits = self.held, self.bits
 
-        def each(column: pa.Array) -> Iterator[tuple[int, bytes, list[int], np.ndarray]]:
+        def each(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
             data, offsets = packed.raw_bytes(column)
             for i, (start, end) in enumerate(zip(offsets.tolist(), offsets[1:].tolist())):
                 at, h = cores(data[start:end])
@@ -161,7 +193,7 @@ class _Suspects:
                 for p in _probes(h, bits):
                     hit &= (held.value[p >> np.uint64(3)] >> (7 - (p & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
                 if hit.any():
-                    yield i, data[start:end].tobytes(), at[hit].tolist(), h[hit]
+                    yield i, data[start:end], at[hit], h[hit]
 
         return each
 
@@ -175,30 +207,55 @@ class _Suspects:
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
 
         counted = self.docs.select("text").mapInArrow(count, "h bigint, n bigint")
-        return counted.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > HOT).select("h")
+        counted = counted.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > HOT)
+        return counted.orderBy(F.col("n").desc(), "h").limit(MOST_HOT).select("h")
 
-    def strings(self) -> DataFrame:
-        """``h, core, left, right, n``: different strings of some texts in a row and how often they have each."""
-        texts = self._texts()
+    def strings(self, hot: np.ndarray) -> DataFrame:
+        """A row for each different string of some texts in a row, and how often they have it (``a`` is -1); of a string with a ``hot``
+        core a row for each window instead, ``a`` its left bytes and ``core`` its digest. Rows of one ``key`` must meet."""
+        texts, held = self._texts(), self.docs.sparkSession.sparkContext.broadcast(hot)
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                own: dict[tuple, int] = {}
-                for _, raw, at, h in texts(batch.column(0)):
-                    for a, k in zip(at, h.view(np.int64).tolist()):
-                        key = (k, *_sides(raw, a))
-                        own[key] = own.get(key, 0) + 1
-                    if len(own) > GIVEN_ROWS:
-                        yield rows(own)
-                        own = {}
-                yield rows(own)
-
-        def rows(own: dict[tuple, int]) -> pa.RecordBatch:
-            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
-            columns = [pa.array([k[i] for k in own], kind) for i, kind in enumerate(kinds)]
-            return pa.RecordBatch.from_arrays([*columns, pa.array(list(own.values()), pa.int64())], ["h", "core", "left", "right", "n"])
-
-        return self.docs.select("text").mapInArrow(cut, "h bigint, core binary, left binary, right binary, n bigint")
+                parts: list[tuple[np.ndarray, ...]] = []
+                for _, data, at, h in texts(batch.column(0)):
+                    for start in range(0, len(at), GIVEN_ROWS):
+                        own = slice(start, start + GIVEN_ROWS)
+                        parts.append((h[own].view(np.int64), *strings_at(data, at[own])))
+                        if sum(len(p[0]) for p in parts) > HELD_ROWS:
+                            yield from rows(parts)
+                            parts = []
+                if parts:
+                    yield from rows(parts)
+
+        def rows(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+            h, name, core, sides, there = map(np.concatenate, zip(*parts))
+            order, starts = _grouped(name)
+            n = np.diff(np.append(starts, len(order)))
+            at = order[starts]
+            common = np.isin(h[at], held.value)
+            usual = at[~common]
+            size = len(usual)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(h[usual]), pa.array(np.full(size, -1, np.int32)), _binary(name[usual]), _binary(core[usual]), _binary(sides[usual]),
+                    pa.array(there[usual, 0].astype(np.int32)), pa.array(there[usual, 1].astype(np.int32)), pa.array(n[~common]),
+                ], _STRINGS.names,
+            )
+            windows: list[tuple] = []
+            for i, times in zip(at[common].tolist(), n[common].tolist()):
+                left, right = there[i].tolist()
+                before, middle, after = sides[i, :SIDE].tobytes(), core[i].tobytes(), sides[i, SIDE:].tobytes()
+                for a in range(max(0, SIDE - right), left + 1):
+                    w = xxhash.xxh3_128_digest(before[SIDE - a :] + middle + after[: SIDE - a])
+                    windows.append((int.from_bytes(w[:8], "little", signed=True), a, name[i].tobytes(), w, b"", 0, 0, times))
+                if len(windows) > HELD_ROWS:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*windows), _STRINGS.types)], _STRINGS.names)
+                    windows = []
+            if windows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*windows), _STRINGS.types)], _STRINGS.names)
+
+        return self.docs.select("text").mapInArrow(cut, "key bigint, a int, string binary, core binary, sides binary, before int, after int, n bigint")
 
     def places(self) -> DataFrame:
         """``doc_id, node, string, at``: a row for each string of a text, with all its places."""
@@ -206,41 +263,37 @@ class _Suspects:
 
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                of, strings, places = [], [], []
-                for i, raw, at, _ in texts(batch.column(2)):
-                    own: dict[bytes, list[int]] = {}
-                    for a in at:
-                        own.setdefault(digest(*_sides(raw, a)), []).append(a)
-                    of += [i] * len(own)
-                    strings += own
-                    places += own.values()
-                    if len(of) > GIVEN_ROWS:
-                        yield rows(batch, of, strings, places)
-                        of, strings, places = [], [], []
-                yield rows(batch, of, strings, places)
-
-        def rows(batch: pa.RecordBatch, of: list[int], strings: list[bytes], places: list[list[int]]) -> pa.RecordBatch:
-            taken = [batch.column(c).take(pa.array(of, pa.int64())) for c in (0, 1)]
-            given = [pa.array(strings, pa.binary()), pa.array(places, pa.list_(pa.int32()))]
-            return pa.RecordBatch.from_arrays([*taken, *given], ["doc_id", "node", "string", "at"])
+                of: list[np.ndarray] = []
+                names: list[np.ndarray] = []
+                places: list[np.ndarray] = []
+                sizes: list[np.ndarray] = []
+                for i, data, at, _ in texts(batch.column(2)):
+                    name = np.concatenate([strings_at(data, at[s : s + GIVEN_ROWS])[0] for s in range(0, len(at), GIVEN_ROWS)])
+                    order, starts = _grouped(name)
+                    of.append(np.full(len(starts), i))
+                    names.append(name[order[starts]])
+                    places.append(at[order])
+                    sizes.append(np.diff(np.append(starts, len(order))))
+                    if sum(map(len, of)) > HELD_ROWS:
+                        yield rows(batch, of, names, places, sizes)
+                        of, names, places, sizes = [], [], [], []
+                if of:
+                    yield rows(batch, of, names, places, sizes)
+
+        def rows(batch: pa.RecordBatch, of: list, names: list, places: list, sizes: list) -> pa.RecordBatch:
+            taken = [batch.column(c).take(pa.array(np.concatenate(of))) for c in (0, 1)]
+            ends = np.append(0, np.cumsum(np.concatenate(sizes))).astype(np.int32)
+            at = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(places).astype(np.int32)))
+            return pa.RecordBatch.from_arrays([*taken, _binary(np.concatenate(names)), at], ["doc_id", "node", "string", "at"])
 
         id_type = dict(self.docs.dtypes)["doc_id"]
         return self.docs.select("doc_id", "node", "text").mapInArrow(find, f"doc_id {id_type}, node bigint, string binary, at array<int>")
 
 
-def _sides(raw: bytes, a: int) -> tuple[bytes, bytes, bytes]:
-    return xxhash.xxh3_128_digest(raw[a : a + CORE]), raw[max(0, a - SIDE) : a], raw[a + CORE : a + LENGTH]
-
-
-def digest(core: bytes, left: bytes, right: bytes) -> bytes:
-    """The name of a string; the core has a fixed length, so the first separator tells the sides apart."""
-    return hashlib.md5(core + b"%d " % len(left) + left + right).digest()
-
-
-def string_of(core: F.Column, left: F.Column, right: F.Column) -> F.Column:
-    """``digest`` as an expression."""
-    length = F.octet_length(left).cast("string").cast("binary")
-    return F.unhex(F.md5(F.concat(core, length, F.lit(" ").cast("binary"), left, right)))
+_STRINGS = pa.schema(
+    [("key", pa.int64()), ("a", pa.int32()), ("string", pa.binary()), ("core", pa.binary()), ("sides", pa.binary()), ("before", pa.int32()),
+     ("after", pa.int32()), ("n", pa.int64())]
+)
 
 
 def _room(left: int, right: int) -> int:
@@ -251,34 +304,30 @@ def _room(left: int, right: int) -> int:
 
 def masks(suspects: _Suspects) -> DataFrame:
     """``string, mask`` of the strings with a repeated window."""
-    crowded = stage(suspects.crowded(), "crowded")
-    strings = suspects.strings()
+    hot = np.array(sorted(r["h"] for r in suspects.crowded().collect()), np.int64)
     size = suspects.docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, int(size / SHARD_BYTES))
 
     def shard(group: pd.DataFrame) -> pd.DataFrame:
-        """Equal strings are joined; those that occur twice have all their windows repeated."""
-        group = group.groupby(["core", "left", "right"], sort=False, as_index=False)["n"].sum()
-        core, left, right = (group[c].tolist() for c in ("core", "left", "right"))
-        name = [digest(*x) for x in zip(core, left, right)]
-        own = np.array([_room(len(a), len(z)) if n > 1 else 0 for a, z, n in zip(left, right, group["n"])], np.int64)
-        shared = group["core"].map(group["core"].value_counts()).to_numpy() > 1
-        at = np.flatnonzero(shared)
-        own[at] |= repeated_windows([core[i] for i in at], [left[i] for i in at], [right[i] for i in at])
+        """Equal strings are joined; those that occur twice have all their windows repeated. Windows of hot cores are counted."""
+        windows, group = group[group["a"] >= 0], group[group["a"] < 0]
+        group = group.groupby("string", sort=False, as_index=False).agg({"core": "first", "sides": "first", "before": "first", "after": "first", "n": "sum"})
+        left, right = group["before"].to_numpy(), group["after"].to_numpy()
+        own = np.array([_room(a, z) if n > 1 else 0 for a, z, n in zip(left.tolist(), right.tolist(), group["n"].tolist())], np.int64)
+        core_id = pd.factorize(group["core"])[0]
+        at = np.flatnonzero(np.bincount(core_id)[core_id] > 1) if len(core_id) else np.empty(0, np.int64)
+        if len(at):
+            sides = np.frombuffer(b"".join(group["sides"].iloc[at]), np.uint8).reshape(-1, 2 * SIDE)
+            own[at] |= repeated_windows(core_id[at], sides, left[at], right[at])
+        again = windows[windows.groupby(["a", "core"])["n"].transform("sum") > 1]
         found = own != 0
-        return pd.DataFrame({"string": [x for x, f in zip(name, found) if f], "mask": own[found]})
+        return pd.DataFrame(
+            {"string": [*group["string"][found], *again["string"]], "mask": np.append(own[found], np.left_shift(1, again["a"].to_numpy(np.int64)))}
+        )
 
-    usual = strings.join(crowded, "h", "left_anti").withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards)))
-    sorted_ = usual.select("shard", "core", "left", "right", "n").groupBy("shard").applyInPandas(shard, "string binary, mask bigint")
-    # very common cores: every window's digest is counted on its own
-    hot = strings.join(crowded, "h", "left_semi").select("*", F.explode(F.sequence(F.lit(0), F.lit(SIDE))).alias("a"))
-    hot = hot.where((F.octet_length("left") >= F.col("a")) & (F.octet_length("right") >= SIDE - F.col("a")))
-    window = F.concat(F.substr("left", F.octet_length("left") - F.col("a") + 1), F.col("core"), F.substr("right", F.lit(1), SIDE - F.col("a")))
-    hot = hot.select(string_of(F.col("core"), F.col("left"), F.col("right")).alias("string"), "a", F.md5(window).alias("w"), "n")
-    again = hot.groupBy("a", "w").agg(F.sum("n").alias("n")).where("n > 1").select("a", "w")
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("a"))
-    hot = hot.join(again, ["a", "w"]).groupBy("string").agg(F.bit_or(bit).alias("mask"))
-    return sorted_.unionByName(hot)
+    dealt = suspects.strings(hot).withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
+    found = dealt.drop("key").groupBy("shard").applyInPandas(shard, "string binary, mask bigint")
+    return found.groupBy("string").agg(F.bit_or("mask").alias("mask"))
 
 
 _CUT = T.StructType([T.StructField("removed", T.LongType()), T.StructField("spans", T.LongType()), T.StructField("kept", T.BinaryType())])
@@ -308,7 +357,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", whole(F.col("text")).alias("text")).withColumn("node", F.xxhash64("text"))
     suspects = _Suspects(docs)
     marked = suspects.places().join(stage(masks(suspects), "masks"), "string")
-    marked = marked.groupBy("doc_id", "node").agg(F.collect_list(F.struct("at", "mask")).alias("marks"))
+    marked = marked.groupBy("doc_id", "node").agg(F.collect_set(F.struct("at", "mask")).alias("marks"))
     met = join_same(docs, marked, ["doc_id", "node"], "left")
     text = F.when(F.col("marks").isNotNull(), F.col("text"))
     met = met.withColumn("cut", _cut(text, F.col("marks.at"), F.col("marks.mask")))

@@ -16,7 +16,9 @@ import time
 from passagework.plans import registry
 from passagework.session import local_session
 
-RETRIEVAL = {"retrieve_passages", "stuff_context", "rag_prompt", "retrieval_qa", "answer_report"}
+RETRIEVAL = {
+    "retrieve_passages", "retrieve_relevance", "retrieve_inverted", "stuff_context", "rag_prompt", "retrieval_qa", "qa_documents", "answer_report",
+}
 
 
 def main() -> None:

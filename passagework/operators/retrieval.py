@@ -198,7 +198,8 @@ def _is_one_of(column: str, values: list) -> Column:
 
     def literal(value: str | int) -> str:
         if isinstance(value, str):
-            escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+            # a dollar sign would start a variable in Spark's SQL texts
+            escaped = value.replace("\\", "\\\\").replace("'", "\\'").replace("$", "\\u0024")
             return f"'{escaped}'"
         return str(int(value))
 

@@ -16,6 +16,7 @@ import corpus_pipeline
 from passagework.llm import chat, components, decontam, gam, line_dedup, mixing, ngram_join, ngram_lm, quality_rules, repeats, toxicity
 from passagework.llm.queries import ORACLE, QUERIES
 from passagework.llm.text import word_count
+from passagework.session import stage
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -97,7 +98,7 @@ def test_lm_levels_never_under_read(spark):
 @pytest.mark.parametrize("bits", [16, 29])
 def test_lm_holds_all_levels_at_every_size(spark, docs, monkeypatch, bits):
     monkeypatch.setattr(ngram_lm, "BITS", bits)
-    held = docs.where("doc_id is not null").select("doc_id", "text").limit(150).localCheckpoint()
+    held = stage(docs.where("doc_id is not null").select("doc_id", "text").limit(150), "held")
     texts = rows_of(held)
     _, hashes, counts = next(ngram_lm.packed.word_hashes(__import__("pyarrow").array([x for _, x in texts], "string")))
     texts = texts[: len(counts)]

@@ -49,7 +49,7 @@ STAGES = [
     ("mixing", mix_sources),
 ]
 
-# Toxicity scores, Bloom filters and random draws are no SQL; tests/llm compares each stage with a brute-force version.
+# Toxicity scores, Bloom filters and random draws are no SQL; tests/llm compares the operators of stages 2 to 5 with SQL or brute-force versions.
 ORACLE_SQL = None
 
 

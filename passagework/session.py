@@ -54,8 +54,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/passagework/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: computed once, and safe from lost executors."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.parquet(path)

@@ -87,6 +87,17 @@ def test_lm_base_is_exact(request, table):
     assert (out["score"] <= 0).all() and np.isfinite(out["score"]).all()
 
 
+def test_lm_base_is_exact_by_ranges(docs, odd, monkeypatch):
+    whole = {table: ngram_lm.score_held_out(given).toPandas()["score"].sum() for table, given in (("odd", odd),)}
+    monkeypatch.setattr(ngram_lm, "BITS", 6)
+    for name, given in (("docs", docs), ("odd", odd)):
+        out = ngram_lm.score_held_out(given).toPandas()
+        found = sorted((int(r.doc_id) if pd.notna(r.doc_id) else -1, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in out.itertuples())
+        assert found == brute_base(rows_of(given))
+        if name in whole:
+            assert abs(out["score"].sum() - whole[name]) <= 0.02 * out["n_tokens"].sum()
+
+
 def test_lm_levels_never_under_read(spark):
     model = ngram_lm.train(spark.createDataFrame([("a b a b a b c",)] * 5, "text string"), 4, 40)
     keys = ngram_lm.packed.word_hashes(__import__("pyarrow").array(["a b c zzz"]))

@@ -348,6 +348,29 @@ def test_classifiers_on_held_out_rows(spark, module, label, accuracy):
     assert (out["predicted"][out["toxic"] == 0] == 0).mean() > 0.98 if label == "toxic" else True
 
 
+def test_toxic_recall_on_held_out_rows(spark):
+    """Some 5 % of the toxic rows hold no word that others of them share, so not all can be found."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    out = toxicity.score(docs, toxicity.train(docs, labels)).join(labels, "doc_id").where("held_out").toPandas()
+    toxic = out["toxic"] == 1
+    assert toxic.sum() > 90 and out["predicted"][toxic].mean() > 0.88 and out["predicted"][~toxic].mean() < 0.01
+
+
+def test_toxicity_in_tasks_equals_the_local_model(spark):
+    """Also with rows that repeat, and with a bound on the sample's characters."""
+    rows = [(i, f"calm words of {i % 7}. nothing else here." if i % 3 else f"calm words. you are vile {i % 5}.") for i in range(300)]
+    rows += [(1, None), (None, "no id"), rows[4]]
+    docs, labels = spark.createDataFrame(rows, "doc_id bigint, text string"), [(i, int(i % 3 == 0)) for i in range(300)]
+    known = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    used = [(t, dict(labels)[i]) for i, t in rows if i is not None and zlib.crc32(str(i).encode()) % 5]
+    local, spread = toxicity.fit(*map(list, zip(*used))), toxicity.train(docs, known)
+    assert spread.weights.keys() == local.weights.keys() and spread.bias == pytest.approx(local.bias)
+    assert all(spread.weights[f] == pytest.approx(w, abs=1e-6) for f, w in local.weights.items())
+    few = toxicity.training_rows(docs, known, "toxic", 5, 0, 1000, 500).toPandas()
+    assert 0 < len(few) < len(used) and few["text"].fillna("").str.len().sum() <= 500
+    assert toxicity.train(docs, known, chars=0).weights == {}
+
+
 @pytest.mark.parametrize("module, label", [(toxicity, "toxic"), (gam, "quality")])
 def test_classifiers_odd(odd, empty, spark, module, label):
     none = spark.createDataFrame([], f"doc_id bigint, {label} int")

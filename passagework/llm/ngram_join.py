@@ -37,6 +37,7 @@ FREQUENT = 64  # a shingle that more texts hold is indexed in combinations
 CLASSES = 3
 SIGNED = ["sig", "doc", "n", "before"]
 SIGNED_ROWS = 20_000  # index entries given back at once
+COMMON = 1_000  # keys that hold more than a thousandth of all rows, so no more than these, are joined by broadcast
 
 
 def required(n: np.ndarray | int, percent: int) -> np.ndarray | int:
@@ -139,12 +140,28 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.where(100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
 
 
+def common_keys(counted: DataFrame, key: str, rows: int) -> DataFrame:
+    """``key`` of the rows of ``key, count`` that hold more than one in ``COMMON`` of ``rows``, but more than ``COMMON``: at most ``COMMON`` keys."""
+    return counted.where(F.col("count") > max(COMMON, rows // COMMON)).select(key)
+
+
+def join_common(left: DataFrame, right: DataFrame, key: str, common: DataFrame) -> DataFrame:
+    """``left`` left-joined with ``right``, which has one row a key at most. Rows of the ``common`` keys stay where they are and meet the
+    few rows of these keys by broadcast, so no task gets all rows of one key."""
+    common = F.broadcast(common)
+    few = F.broadcast(right.join(common, key, "left_semi"))
+    spread = left.join(common, key, "left_semi").join(few, key, "left")
+    return spread.unionByName(left.join(common, key, "left_anti").join(right, key, "left"))
+
+
 def link(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``doc_id, same`` of all rows, ``doc_id, n`` of the texts that stand for their copies, and ``a, b`` of their links."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole(F.col("text")).alias("text"))
     ids = stage(docs.select("doc_id", F.md5("text").alias("digest")), "digests")
-    same = ids.groupBy("digest").agg(F.min("doc_id").alias("same"))
-    members = stage(ids.join(same, "digest").select("doc_id", "same"), "members")
+    same = ids.groupBy("digest").agg(F.min("doc_id").alias("same"), F.count("*").alias("count")).where(F.col("count") > 1)
+    same = stage(same, "same")
+    members = join_common(ids, same.select("digest", "same"), "digest", common_keys(same, "digest", ids.count()))
+    members = stage(members.select("doc_id", F.coalesce("same", "doc_id").alias("same")), "members")
     others = stage(members.where("doc_id <> same").select("doc_id").distinct(), "copies")
     alone = docs.where("doc_id is not null").join(others, "doc_id", "left_anti")
     bits, width = packed.plan(docs)
@@ -201,8 +218,8 @@ def near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     each = links.select("a").unionAll(links.select("b")).groupBy("a").agg(F.count("*").alias("n_links"))
     sizes = sizes.groupBy("doc_id").agg(F.max("n").alias("n"))
     known = sizes.join(components(links), sizes["doc_id"] == F.col("node"), "left").join(each, sizes["doc_id"] == each["a"], "left")
-    known = known.select(F.col("doc_id").alias("same"), "n", "component", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    out = members.join(known, "same", "left")
+    known = stage(known.select(F.col("doc_id").alias("same"), "n", "component", F.coalesce("n_links", F.lit(0)).alias("n_links")), "known")
+    out = join_common(members, known, "same", common_keys(members.groupBy("same").count(), "same", members.count()))
     empty = F.coalesce(F.col("n"), F.lit(0)) == 0
     return out.select(
         "doc_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_shingles"),

@@ -215,6 +215,25 @@ def test_join_equals_brute_force(monkeypatch, docs, words, percent, frequent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == brute_components(rows_of(docs), words, percent)
 
 
+def test_join_with_common_copies(spark, monkeypatch):
+    """Copies above the bound meet their representative by broadcast; the rows are those of the plain join, ids of null too."""
+    text = "one two three four five six seven"
+    rows = [(100 + i, text) for i in range(60)] + [(None, text), (None, "no id at all here"), (3, "alone with words of its own")]
+    rows += [(200 + i, f"{i // 2} pairs of equal texts are few") for i in range(10)]
+    given = spark.createDataFrame(rows, "doc_id bigint, text string")
+    plain = sorted(map(str, ngram_join.near_copies(given).collect()))
+    monkeypatch.setattr(ngram_join, "COMMON", 20)
+    spread = ngram_join.near_copies(given)
+    assert sorted(map(str, spread.collect())) == plain and len(plain) == len(rows)
+    assert {r.component_id for r in spread.collect() if (r.doc_id or 0) in range(100, 160)} == {100}
+    counted = spark.createDataFrame([("a", 61), ("b", 21), ("c", 20), (None, 99)], "k string, count bigint")
+    assert {r.k for r in ngram_join.common_keys(counted, "k", 73).collect()} == {"a", "b", None}
+    left = spark.createDataFrame([("a", 1), ("a", 2), ("c", 3), ("d", 4), (None, 5)], "k string, v int")
+    right = spark.createDataFrame([("a", "A"), ("c", "C")], "k string, w string")
+    joined = ngram_join.join_common(left, right, "k", spark.createDataFrame([("a",), (None,)], "k string"))
+    assert sorted((r.v, r.w) for r in joined.collect()) == [(1, "A"), (2, "A"), (3, "C"), (4, None), (5, None)]
+
+
 def test_join_odd(odd, empty):
     out = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_copies(odd).collect()}
     assert out[1] == (0, 1) and out[6] == (0, 6) and out[None][1] is None

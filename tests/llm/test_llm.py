@@ -368,7 +368,7 @@ def test_classifiers_on_held_out_rows(spark, module, label, accuracy):
 
 
 def test_toxic_recall_on_held_out_rows(spark):
-    """Some 5 % of the toxic rows hold no word that others of them share, so not all can be found."""
+    """Not all can be found: some toxic rows, 18 of 279 in English, hold none of the ten commonest insults."""
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     out = toxicity.score(docs, toxicity.train(docs, labels)).join(labels, "doc_id").where("held_out").toPandas()
     toxic = out["toxic"] == 1

@@ -38,6 +38,8 @@ SCAN_VALUES = 8_000_000
 SCAN_ROWS = 20_000
 # Scores held at once in a task, and rows per block of the grid way.
 CELL_SCORES = 2_000_000
+# Share of the lengths' squares below which a squared distance has lost digits.
+CLOSE = 0.01
 # Cores above which the tasks' rows are ranked in two steps.
 WIDE_CLUSTER = 512
 # Hits of the scan way that later joins may broadcast; their number is known to be questions * k.
@@ -150,8 +152,12 @@ class _Sparse:
         return out.reshape(height, width)
 
     def exact_square(self, other: _Sparse, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        left, right = self.take(i).dense(), other.take(j).dense()
-        return np.einsum("ij,ij->i", left - right, left - right)
+        """By the pairs' own buckets: rows are never filled up to the dimension."""
+        left, right = self.take(i), other.take(j)
+        place = np.concatenate([left.row_of_pair(), right.row_of_pair()]) * self.width + np.concatenate([left.bucket, right.bucket])
+        cells, at = np.unique(place, return_inverse=True)
+        gap = np.bincount(at, np.concatenate([left.weight, -right.weight]), minlength=len(cells))
+        return np.bincount(cells // self.width, gap * gap, minlength=len(i))
 
 
 class _Best:
@@ -165,9 +171,8 @@ class _Best:
         self.live = np.flatnonzero(np.isfinite(questions.squares))
         self.kept: list[tuple | None] = [None] * size
 
-    def _scores(self, block, corpus) -> np.ndarray:
+    def _scores(self, block, corpus, dots: np.ndarray) -> np.ndarray:
         """Scores that grow with nearness, up to the slack below."""
-        dots = block.dots(corpus)
         if self.metric == "cosine":
             return dots / np.sqrt(block.squares[:, None] * corpus.squares[None, :])
         return self._from_square(np.maximum(block.squares[:, None] + corpus.squares[None, :] - 2 * dots, 0))
@@ -184,13 +189,16 @@ class _Best:
             ids, corpus = ids[keep], corpus.take(keep)
         if not len(ids):
             return
+        order = np.argsort(ids, kind="stable")  # then the first of equal scores is the one of the smallest id
+        ids, corpus = ids[order], corpus.take(order)
         step = max(1, CELL_SCORES // len(ids))
         for begin in range(0, len(self.live), step):
             index = self.live[begin : begin + step]
             self._add_block(index, self.questions.take(index), ids, corpus)
 
     def _add_block(self, index: np.ndarray, block, ids: np.ndarray, corpus) -> None:
-        scores = self._scores(block, corpus)
+        dots = block.dots(corpus)
+        scores = self._scores(block, corpus, dots)
         k = min(self.k, len(ids))
         bar = np.full(len(index), -np.inf)
         if len(ids) > self.k:
@@ -206,13 +214,30 @@ class _Best:
         rows, cols = np.nonzero(scores >= bar[:, None])
         values = scores[rows, cols]
         if self.metric != "cosine":
-            values = self._from_square(self._exact(block, corpus, rows, cols))
+            values = self._from_square(self._squares(block, corpus, rows, cols, dots))
         values = np.round(values, DIGITS) + 0.0
         # Candidates come in question order, so each question's are a slice.
         touched = np.unique(rows)
         ends = np.searchsorted(rows, touched, side="right")
         for q, begin, end in zip(index[touched].tolist(), [0, *ends[:-1].tolist()], ends.tolist()):
-            self._merge(q, values[begin:end], ids[cols[begin:end]])
+            first = begin + self._first(values[begin:end])
+            self._merge(q, values[first], ids[cols[first]])
+
+    def _first(self, values: np.ndarray) -> np.ndarray:
+        """Places of the k largest values, the first of equal ones: all rows of a corpus may be equally far from a question."""
+        if len(values) <= self.k:
+            return np.arange(len(values))
+        bar = np.partition(values, len(values) - self.k)[len(values) - self.k]
+        above = np.flatnonzero(values > bar)
+        return np.concatenate([above, np.flatnonzero(values == bar)[: self.k - len(above)]])
+
+    def _squares(self, block, corpus, rows: np.ndarray, cols: np.ndarray, dots: np.ndarray) -> np.ndarray:
+        """Squared distances. Only a pair close together, whose product cancels the lengths, needs the gaps of its values."""
+        lengths = block.squares[rows] + corpus.squares[cols]
+        square = lengths - 2 * dots[rows, cols]
+        close = np.flatnonzero(square < CLOSE * lengths)
+        square[close] = self._exact(block, corpus, rows[close], cols[close])
+        return square
 
     def _exact(self, block, corpus, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
         step = max(1, CELL_SCORES // block.width)

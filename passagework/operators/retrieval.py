@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from passagework.functions.text import bind
 from passagework.operators.context import attach
 from passagework.operators.embedding import DIM, TERMS_TYPE, Embedder, embed_with, idf_table, term_counts, weigh
 from passagework.operators.nearest import nearest
@@ -140,12 +141,13 @@ def embed_questions(questions: DataFrame, text: str, index: Index) -> DataFrame:
 
 def _unit(df: DataFrame, sparse: bool) -> DataFrame:
     """Vectors at length 1; those without a length become null."""
+    # The length is bound once: Catalyst would copy its sum over the vector into the function that is called for each element.
     if sparse:
-        scaled = F.transform("embedding", lambda e: F.struct(e["bucket"], (e["weight"] / F.col("norm")).alias("weight")))
+        scaled = bind(F.col("norm"), lambda n: F.transform("embedding", lambda e: F.struct(e["bucket"], (e["weight"] / n).alias("weight"))))
     else:
         square = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x)
         df = df.withColumn("norm", F.sqrt(square))
-        scaled = F.transform("embedding", lambda x: x / F.col("norm"))
+        scaled = bind(F.col("norm"), lambda n: F.transform("embedding", lambda x: x / n))
     return df.withColumn("embedding", F.when(F.col("norm") > 0, scaled))
 
 

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from passagework.operators import nearest as N
@@ -198,3 +199,29 @@ def test_vectors_without_a_score_erase_nothing(spark, metric, way):
     questions = spark.createDataFrame([(1, [1.0, 0.1]), (2, [float("nan"), 1.0])], "qid int, embedding array<double>")
     out = N.nearest(corpus, questions, 2, metric, corpus_id="vec_id", question_id="qid", way=way).collect()
     assert sorted((r.qid, r.vec_id) for r in out) == [(1, 1), (1, 2)]
+
+
+@pytest.mark.parametrize("metric", ["l2", "relevance"])
+def test_rows_that_share_no_bucket_need_no_gaps(monkeypatch, metric):
+    """A whole corpus equally far from a question: no row is filled up, and the smallest ids win in any order of the rows."""
+    n, dim, k = 4_000, 4_096, 2
+    compared = []
+    gaps = N._Sparse.exact_square
+    monkeypatch.setattr(N._Sparse, "exact_square", lambda self, other, i, j: compared.append(len(i)) or gaps(self, other, i, j))
+
+    def rows(buckets):
+        return N._Sparse(pa.array([[{"bucket": b, "weight": w} for b, w in row] for row in buckets]), dim)
+
+    corpus = [[(i % 50, 0.6), (50 + i % 7, 0.8)] for i in range(n)]
+    questions = [[(4_000, 1.0)], [(3, 0.6), (53, 0.8)], [(9, 1.0)]]
+    best = N._Best(rows(questions), k, metric)
+    ids = np.array([b"c%05d" % i for i in range(n)])
+    for part in np.array_split(np.arange(n)[::-1], 3):
+        best.add(ids[part], rows([corpus[i] for i in part]))
+    assert sum(compared) < n / 4
+    sign = -1 if metric == "l2" else 1
+    found = {}
+    for q, i, s in zip(*best.rows()):
+        found.setdefault(int(q), []).append((i, round(sign * s, 6)))
+    dense = lambda row: np.bincount([b for b, _ in row], [w for _, w in row], dim)
+    assert found == brute([dense(r) for r in corpus], [dense(r) for r in questions], k, metric, key=lambda i: ids[i])

@@ -178,6 +178,21 @@ def test_fewer_postings_are_read(spark, sf):
     assert sorted(map(tuple, V.retrieve_by_postings(questions, index, postings, k).collect())) == full_scan(questions, index, k)
 
 
+def test_products_are_summed_where_postings_lie(spark):
+    """Frequent words: each question meets most chunks, but a shard returns k of them at most."""
+    rows = [(f"m{i:04}", f"alpha beta gamma delta w{i % 9} v{i % 13} u{i}", "p") for i in range(600)] + [(f"n{i}", "zeta", "p") for i in range(600)]
+    index, k = R.build_index(spark, chunks(spark, rows), scratch_path(spark, "inv")), 3
+    postings = V.write_postings(index, scratch_path(spark, "postings"), 200)
+    questions = asked(spark, *(f"alpha beta w{i % 9} gamma v{i % 13} delta" for i in range(20)))
+    ready = V.prepared(questions, index, "qid", "question")
+    terms = V.question_terms(ready, postings)
+    levels = V.needed_levels(terms, V._bars(terms, ready, index, postings, k))
+    met = V._meet(levels, postings, 20, k)
+    shards = postings.blocks.agg(F.max("part") + 1).first()[0]
+    assert shards > 1 and k * 20 <= met.count() <= k * 20 * shards
+    assert sorted(map(tuple, V.retrieve_by_postings(questions, index, postings, k).collect())) == full_scan(questions, index, k)
+
+
 def test_postings_need_weights_above_zero(spark):
     model = B.Embedder("length", lambda: lambda texts: [[1.0, -1.0] for t in texts], 2)
     index = R.build_index(spark, chunks(spark, ROWS[:3]), scratch_path(spark, "inv"), model=model)

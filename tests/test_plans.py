@@ -112,3 +112,9 @@ def test_stream_picks_up_only_new_files(spark, sf):
     whole = ingest()
     assert whole.count() == batch.count() and whole.exceptAll(batch).isEmpty()
     assert ingest().count() == batch.count()
+
+
+def test_stream_over_a_table_of_several_files(spark, sf, tmp_path):
+    spark.read.parquet(f"{sf}/pages.parquet").repartition(3).write.parquet(f"{tmp_path}/pages.parquet")
+    found, wanted = registry.stream_ingest(spark, str(tmp_path)), registry.html_chunks(spark, sf)
+    assert sorted(map(str, found.collect())) == sorted(map(str, wanted.select(*found.columns).collect())) != []

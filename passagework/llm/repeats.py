@@ -13,7 +13,8 @@ with a neighbour have their window at ``a`` repeated. A shard is bounded and its
 over whole documents would take as many rounds, each over all suffixes, as the longest text has bytes; over cores it takes 101.
 
 Texts are scanned four times: for the filter, for the cores that occur more than ``HOT`` times, for the strings, and for the places of the
-repeated ones. Equal strings of some texts in a row enter once. A very common core is not put in one shard: each window of
+repeated ones. A scan takes some texts in a row as one piece of bytes, small enough for a core's cache, in which no core or window crosses the end of
+a text. Equal strings of some texts in a row enter once. A very common core is not put in one shard: each window of
 its strings is a row of its own, dealt out by its digest and counted there, which is exact and spreads.
 
 Nulls and odd input: a null text has no bytes; repeated rows are documents of their own, so they repeat each other; ids may repeat
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +49,8 @@ HOT = 60_000
 MOST_HOT = 1_000_000  # cores treated so, the commonest first; every task has their hashes
 GIVEN_ROWS = 20_000  # strings cut at once
 HELD_ROWS = 60_000  # strings a scan compares before it gives them back
+PIECE_BYTES = 32_768  # texts scanned at once; a longer one is a piece of its own
+CUT_BYTES = 1_000_000  # texts cut at once, likewise
 _END = 256  # the symbol beyond a text: equal to nothing
 
 
@@ -58,20 +62,38 @@ def _slide(x: np.ndarray, width: int, of: np.ufunc) -> np.ndarray:
     return of(out[: len(x) - width + 1], out[width - done :]) if done < width else out
 
 
-def cores(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the cores of one text: of each window the ``CORE`` bytes with the smallest hash, all ties."""
+def pieces(offsets: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """First and last text (excluded) of runs of texts with at most ``size`` bytes, or one text."""
+    first, n = 0, len(offsets) - 1
+    while first < n:
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
+        yield first, last
+        first = last
+
+
+def cores(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the cores of a piece of texts that end at ``ends``: of each window the ``CORE`` bytes with the smallest hash, all ties.
+
+    The upper halves of the products are compared; only the cores' hashes are mixed. The hash chooses and deals out; what is equal is decided by digests.
+    """
     if len(data) < LENGTH:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     up, down = packed._powers(1 << max(16, int(len(data) + 1).bit_length()))
-    sums = np.append(np.uint64(0), np.cumsum(_BYTE[data] * up[: len(data)]))
-    h = packed.mix((sums[CORE:] - sums[:-CORE]) * down[: len(data) - CORE + 1])
-    least = _slide(h, SIDE + 1, np.minimum)
-    padded = np.concatenate([np.zeros(SIDE, np.uint64), least, np.zeros(SIDE, np.uint64)])
-    at = np.flatnonzero(h == _slide(padded, SIDE + 1, np.maximum))
-    return at, h[at]
-
-
-_BYTE = np.random.default_rng(11).integers(1, 2**64, 256, np.uint64, endpoint=False)
+    values = data.astype(np.uint64)
+    values *= up[: len(data)]
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(values, out=sums[1:])
+    h = sums[CORE:] - sums[:-CORE]
+    h *= down[: len(h)]
+    upper = (h >> np.uint64(32)).astype(np.uint32)
+    least = np.zeros(len(upper) + SIDE, np.uint32)  # of the window that starts SIDE places before; no window, 0
+    for end in ends.tolist():
+        upper[max(0, end - CORE + 1) : end] = 0xFFFFFFFF
+    least[SIDE : len(upper)] = _slide(upper, SIDE + 1, np.minimum)
+    for end in ends.tolist():
+        least[max(0, end - LENGTH + 1) + SIDE : end + SIDE] = 0
+    at = np.flatnonzero(upper == _slide(least, SIDE + 1, np.maximum))
+    return at, packed.mix(h[at])
 
 
 def order_columns(columns: Iterator[tuple[np.ndarray, np.ndarray | int]], n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -128,29 +150,41 @@ def repeated_windows(core_id: np.ndarray, sides: np.ndarray, left: np.ndarray, r
     return mask
 
 
-_WEIGHTS = np.random.default_rng(13).integers(1, 2**64, (2 * SIDE + 2, 2), np.uint64, endpoint=False) | np.uint64(1)
-_OFFSETS = np.concatenate([np.arange(SIDE), np.arange(LENGTH, LENGTH + SIDE)])
+def strings_at(raw: bytes, at: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Names of the strings around the cores at some places of a piece, and their numbers of bytes on either side.
 
+    ``start`` and ``end`` are those of each core's text. A name is 128 bits of a digest of the string, by its left bytes, so equal strings
+    have equal names.
+    """
+    there = np.stack([np.minimum(at - start, SIDE), np.minimum(end - CORE - at, SIDE)], axis=1)
+    froms, tos = (at - there[:, 0]).tolist(), (at + CORE + there[:, 1]).tolist()
+    return _digests([xxhash.xxh3_128_digest(raw[a:z], left) for a, z, left in zip(froms, tos, there[:, 0].tolist())]), there
 
-def strings_at(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the cores at some places of a text: names, digests, the bytes on either side (zeros beyond the text) and their numbers.
 
-    A name is 128 bits of the core's digest and of the sides, so equal strings have equal names.
-    """
-    raw = data.tobytes()
-    core = np.frombuffer(b"".join(xxhash.xxh3_128_digest(raw[a : a + CORE]) for a in at.tolist()), np.uint64).reshape(-1, 2)
-    padded = np.concatenate([np.zeros(SIDE, np.uint8), data, np.zeros(SIDE, np.uint8)])
-    sides = padded[at[:, None] + _OFFSETS]
-    there = np.stack([np.minimum(at, SIDE), np.minimum(len(data) - CORE - at, SIDE)], axis=1)
-    numbers = np.concatenate([sides, there.astype(np.uint8)], axis=1).astype(np.uint64)
-    return packed.mix(packed.mix(core) + numbers @ _WEIGHTS), core, sides, there
+def _digests(each: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(each), np.uint64).reshape(-1, 2)
 
 
-def _grouped(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order that puts equal names together, and where each name's run starts in it."""
-    order = np.lexsort((names[:, 1], names[:, 0]))
-    ordered = names[order]
-    new = np.append(True, (ordered[1:] != ordered[:-1]).any(axis=1))[: len(names)]
+def sides_at(data: np.ndarray, at: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """The bytes on either side of the cores, zeros beyond the text."""
+    padded = np.concatenate([np.zeros(SIDE, np.uint8), data, np.zeros(SIDE, np.uint8)])
+    runs = np.lib.stride_tricks.sliding_window_view(padded, SIDE)
+    sides = np.concatenate([runs[at], runs[at + LENGTH]], axis=1)
+    edge = np.flatnonzero((there < SIDE).any(axis=1))
+    place = np.arange(SIDE)
+    sides[edge] *= np.concatenate([place[::-1] < there[edge, :1], place < there[edge, 1:]], axis=1)
+    return sides
+
+
+def _grouped(names: np.ndarray, *first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that puts equal names together, ``first`` ones by themselves, and where each name's run starts in it."""
+    keys = [*first, names[:, 0], names[:, 1]]
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for key in keys:
+        ordered = key[order]
+        new[1:] |= ordered[1:] != ordered[:-1]
     return order, np.flatnonzero(new)
 
 
@@ -162,12 +196,14 @@ def _binary(rows: np.ndarray) -> pa.Array:
 
 
 def _hashes(docs: DataFrame) -> DataFrame:
+    """``hashes`` of the cores, a row for each piece of texts."""
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = packed.raw_bytes(batch.column(0))
-            found = [cores(data[a:z])[1].view(np.int64) for a, z in zip(offsets, offsets[1:])]
+            found = [cores(data[offsets[a] : offsets[z]], offsets[a + 1 : z + 1] - offsets[a])[1] for a, z in pieces(offsets, PIECE_BYTES)]
             sizes = np.append(0, np.cumsum([len(x) for x in found])).astype(np.int32)
-            values = pa.array(np.concatenate([np.empty(0, np.int64), *found]))
+            values = pa.array(np.concatenate([np.empty(0, np.uint64), *found]).view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(sizes), values)], ["hashes"])
 
     return docs.select("text").mapInArrow(each, "hashes array<bigint>")
@@ -181,29 +217,32 @@ class _Suspects:
         self.docs, self.bits = docs, min(MAX_BITS, max(16, int(size / 6).bit_length()))
         self.held = docs.sparkSession.sparkContext.broadcast(twice_seen(_hashes(docs), self.bits))
 
-    def _texts(self):
-        """From a column of texts to the bytes of each text with suspects, their places and hashes."""
+    def _pieces(self):
+        """From a column of texts to the bytes of each piece with suspects, the number of its first text and where its texts start and end; each suspect's
+        text, counted from that one, its place and its hash."""
         held, bits = self.held, self.bits
 
-        def each(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        def each(column: pa.Array) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
             data, offsets = packed.raw_bytes(column)
-            for i, (start, end) in enumerate(zip(offsets.tolist(), offsets[1:].tolist())):
-                at, h = cores(data[start:end])
+            for first, last in pieces(offsets, PIECE_BYTES):
+                piece, edges = data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
+                at, h = cores(piece, edges[1:])
                 hit = np.ones(len(at), bool)
                 for p in _probes(h, bits):
                     hit &= (held.value[p >> np.uint64(3)] >> (7 - (p & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
                 if hit.any():
-                    yield i, data[start:end], at[hit], h[hit]
+                    at = at[hit]
+                    yield piece, first, edges, np.searchsorted(edges, at, "right") - 1, at, h[hit]
 
         return each
 
     def crowded(self) -> DataFrame:
         """``h`` of the cores that occur more than ``HOT`` times; a batch counts its own first."""
-        texts = self._texts()
+        texts = self._pieces()
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                h, n = np.unique(np.concatenate([np.empty(0, np.uint64), *(x[3] for x in texts(batch.column(0)))]), return_counts=True)
+                h, n = np.unique(np.concatenate([np.empty(0, np.uint64), *(x[5] for x in texts(batch.column(0)))]), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
 
         counted = self.docs.select("text").mapInArrow(count, "h bigint, n bigint")
@@ -213,15 +252,18 @@ class _Suspects:
     def strings(self, hot: np.ndarray) -> DataFrame:
         """A row for each different string of some texts in a row, and how often they have it (``a`` is -1); of a string with a ``hot``
         core a row for each window instead, ``a`` its left bytes and ``core`` its digest. Rows of one ``key`` must meet."""
-        texts, held = self._texts(), self.docs.sparkSession.sparkContext.broadcast(hot)
+        texts, held = self._pieces(), self.docs.sparkSession.sparkContext.broadcast(hot)
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 parts: list[tuple[np.ndarray, ...]] = []
-                for _, data, at, h in texts(batch.column(0)):
+                for data, _, edges, of, at, h in texts(batch.column(0)):
+                    raw = data.tobytes()
                     for start in range(0, len(at), GIVEN_ROWS):
                         own = slice(start, start + GIVEN_ROWS)
-                        parts.append((h[own].view(np.int64), *strings_at(data, at[own])))
+                        name, there = strings_at(raw, at[own], edges[of[own]], edges[of[own] + 1])
+                        core = _digests([xxhash.xxh3_128_digest(raw[a : a + CORE]) for a in at[own].tolist()])
+                        parts.append((h[own].view(np.int64), name, core, sides_at(data, at[own], there), there))
                         if sum(len(p[0]) for p in parts) > HELD_ROWS:
                             yield from rows(parts)
                             parts = []
@@ -259,7 +301,7 @@ class _Suspects:
 
     def places(self) -> DataFrame:
         """``doc_id, node, string, at``: a row for each string of a text, with all its places."""
-        texts = self._texts()
+        texts = self._pieces()
 
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -267,16 +309,20 @@ class _Suspects:
                 names: list[np.ndarray] = []
                 places: list[np.ndarray] = []
                 sizes: list[np.ndarray] = []
-                for i, data, at, _ in texts(batch.column(2)):
-                    name = np.concatenate([strings_at(data, at[s : s + GIVEN_ROWS])[0] for s in range(0, len(at), GIVEN_ROWS)])
-                    order, starts = _grouped(name)
-                    of.append(np.full(len(starts), i))
+                held = 0
+                for data, first, edges, text, at, _ in texts(batch.column(2)):
+                    raw, start, end = data.tobytes(), edges[text], edges[text + 1]
+                    cut = [slice(s, s + GIVEN_ROWS) for s in range(0, len(at), GIVEN_ROWS)]
+                    name = np.concatenate([strings_at(raw, at[x], start[x], end[x])[0] for x in cut])
+                    order, starts = _grouped(name, text)
+                    of.append(first + text[order[starts]])
                     names.append(name[order[starts]])
-                    places.append(at[order])
+                    places.append((at - start)[order])
                     sizes.append(np.diff(np.append(starts, len(order))))
-                    if sum(map(len, of)) > HELD_ROWS:
+                    held += len(starts)
+                    if held > HELD_ROWS:
                         yield rows(batch, of, names, places, sizes)
-                        of, names, places, sizes = [], [], [], []
+                        of, names, places, sizes, held = [], [], [], [], 0
                 if of:
                     yield rows(batch, of, names, places, sizes)
 
@@ -333,23 +379,47 @@ def masks(suspects: _Suspects) -> DataFrame:
 _CUT = T.StructType([T.StructField("removed", T.LongType()), T.StructField("spans", T.LongType()), T.StructField("kept", T.BinaryType())])
 
 
-@F.pandas_udf(_CUT)
-def _cut(text: pd.Series, at: pd.Series, mask: pd.Series) -> pd.DataFrame:
-    def one(t: str | None, places: np.ndarray | None, marks: np.ndarray | None) -> tuple[int, int, bytes | None]:
-        if t is None or places is None:
-            return 0, 0, None
-        raw = np.frombuffer(t.encode(), np.uint8)
-        change = np.zeros(len(raw) + 1, np.int64)
-        marks = np.repeat(np.asarray(marks, np.int64), [len(p) for p in places])
-        places = np.concatenate([np.asarray(p, np.int64) for p in places])
-        for a in range(SIDE + 1):
-            starts = places[(marks >> a) & 1 == 1] - a
-            np.add.at(change, starts, 1)
-            np.add.at(change, starts + LENGTH, -1)
-        gone = np.cumsum(change[:-1]) > 0
-        return int(gone.sum()), int((gone & ~np.append(False, gone[:-1])).sum()), raw[~gone].tobytes()
-
-    return pd.DataFrame([one(*x) for x in zip(text, at, mask)], columns=["removed", "spans", "kept"])
+@F.arrow_udf(_CUT)
+def _cut(text: pa.Array, at: pa.Array, mask: pa.Array) -> pa.Array:
+    """Each text without the windows whose cores are at ``at``, a window for each bit of ``mask``; null without marks."""
+    data, offsets = packed.raw_bytes(text)
+    strings = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(at), 0).to_numpy(zero_copy_only=False)))
+    at = at.flatten()
+    edges = np.append(0, np.cumsum(pc.list_value_length(at).to_numpy(zero_copy_only=False)))
+    per_string = np.diff(edges)
+    at, mask = at.flatten().to_numpy(zero_copy_only=False), mask.flatten().to_numpy(zero_copy_only=False)
+    removed, spans, sizes, kept = [], [], [np.zeros(1, np.int64)], []
+    for first, last in pieces(offsets, CUT_BYTES):
+        piece, starts = data[offsets[first] : offsets[last]], offsets[first:last] - offsets[first]
+        shift = np.repeat(starts, np.diff(edges[strings[first : last + 1]]))
+        a, z = strings[first], strings[last]
+        places, marks = at[edges[a] : edges[z]] + shift, np.repeat(mask[a:z], per_string[a:z])
+        begun = np.zeros(len(piece) + 1, np.int32)
+        for s in range(0, len(places), GIVEN_ROWS):
+            own = slice(s, s + GIVEN_ROWS)
+            bits = np.unpackbits(marks[own].astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            which, left = np.nonzero(bits)
+            begun[places[own][which] - left + 1] = 1
+        np.cumsum(begun, out=begun)
+        ago = np.zeros_like(begun)
+        ago[LENGTH:] = begun[:-LENGTH]
+        gone = begun[1:] > ago[1:]
+        heads = gone.copy()
+        heads[1:] &= ~gone[:-1]
+        inside = starts[starts < len(piece)]
+        heads[inside] = gone[inside]
+        so_far, heads_so_far = (np.append(np.int32(0), np.cumsum(x, dtype=np.int32)) for x in (gone, heads))
+        ends = offsets[first + 1 : last + 1] - offsets[first]
+        removed.append(so_far[ends] - so_far[starts])
+        spans.append(heads_so_far[ends] - heads_so_far[starts])
+        sizes.append(ends - starts - removed[-1])
+        kept.append(piece[~gone].tobytes())
+    there = ~pc.is_null(text).to_numpy(zero_copy_only=False) & (np.diff(strings) > 0)
+    bounds = np.cumsum(np.concatenate(sizes)).astype(np.int32)
+    buffers = [np.packbits(there, bitorder="little").tobytes(), bounds.tobytes(), b"".join(kept)]
+    stays = pa.Array.from_buffers(pa.binary(), len(text), [pa.py_buffer(b) for b in buffers])
+    numbers = [pa.array(np.concatenate([np.empty(0, np.int64), *x]).astype(np.int64)) for x in (removed, spans)]
+    return pa.StructArray.from_arrays([*numbers, stays], ["removed", "spans", "kept"])
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -504,6 +505,86 @@ def test_repeats_odd(odd, empty):
     assert repeats.remove_repeats(odd).count() == len(ODD) and repeats.remove_repeats(empty).count() == 0
 
 
+class _Here:
+    """A table of one batch whose scans run in this process."""
+
+    def __init__(self, texts):
+        self.batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, each, _):
+        return [*each(iter([self.batch]))]
+
+
+def _odd_texts():
+    rng = np.random.default_rng(29)
+    sizes = [0, 1, 149, 150, 151, 199, 200, 201, 0, 260, 3000, 30_000, 40_000, 5, *rng.integers(0, 900, 300).tolist()]
+    return [*(bytes(rng.integers(97, 123, n).astype(np.uint8)).decode() for n in sizes), "a" * 700, "ab" * 300, "", None, "é" * 130]
+
+
+def test_repeats_scan_takes_many_texts_at_once(monkeypatch):
+    slides, slide = [], repeats._slide
+    monkeypatch.setattr(repeats, "_slide", lambda *a: slides.append(1) or slide(*a))
+    texts = _odd_texts()
+    found = [h for batch in repeats._hashes(_Here(texts)) for hashes in batch.column(0).to_pylist() for h in hashes]
+    assert 0 < len(slides) < 30  # two a text before, over 500
+    alone = [np.frombuffer((t or "").encode(), np.uint8) for t in texts]
+    assert found == [h for t in alone for h in repeats.cores(t, np.array([len(t)]))[1].view(np.int64).tolist()]
+
+
+def test_repeats_cores_are_in_every_window_and_cross_no_text():
+    texts = [(t or "").encode() for t in _odd_texts()]
+    ends = np.cumsum([len(t) for t in texts])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    places = np.sort(repeats.cores(data, ends)[0])
+    for t, end in zip(texts, ends.tolist()):
+        own = places[(places >= end - len(t)) & (places < end)] - (end - len(t))
+        assert not len(own) or own.max() + repeats.CORE <= len(t)
+        for k in range(len(t) - repeats.LENGTH + 1):
+            assert ((own >= k) & (own <= k + repeats.SIDE)).any()
+
+
+def test_repeats_names_and_sides_by_bytes():
+    texts = [(t or "").encode() for t in _odd_texts()]
+    edges = np.append(0, np.cumsum([len(t) for t in texts]))
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    at, _ = repeats.cores(data, edges[1:])
+    of = np.searchsorted(edges, at, "right") - 1
+    names, there = repeats.strings_at(data.tobytes(), at, edges[of], edges[of + 1])
+    sides, strings = repeats.sides_at(data, at, there), {}
+    for name, (left, right), side, a, k in zip(names, there.tolist(), sides, (at - edges[of]).tolist(), of.tolist()):
+        assert (left, right) == (min(a, 50), min(len(texts[k]) - a - 150, 50))
+        before, core, after = texts[k][a - left : a], texts[k][a : a + 150], texts[k][a + 150 : a + 150 + right]
+        assert side.tobytes() == before.rjust(50, b"\0") + after.ljust(50, b"\0")
+        assert strings.setdefault((before, core, after), name.tobytes()) == name.tobytes()
+    assert len(set(strings.values())) == len(strings) < len(at)
+
+
+def test_repeats_cut_of_a_batch(monkeypatch):
+    monkeypatch.setattr(repeats, "CUT_BYTES", 2000)
+    monkeypatch.setattr(repeats, "GIVEN_ROWS", 3)
+    rng, rows = np.random.default_rng(31), []
+    for t in _odd_texts():
+        raw = np.frombuffer((t or "").encode(), np.uint8)
+        marks, gone = [], np.zeros(len(raw), bool)
+        for _ in range(int(rng.integers(1, 4)) if len(raw) >= 250 else 0):
+            left = [int(x) for x in rng.choice(51, 2, replace=False)]
+            at = [int(x) for x in rng.integers(50, len(raw) - 199, 4)]
+            for place in at:
+                for a in left:
+                    gone[place - a : place - a + 200] = True
+            marks.append({"at": at, "mask": sum(1 << a for a in left)})
+        wanted = (int(gone.sum()), int((gone & ~np.append(False, gone[:-1])).sum()), raw[~gone].tobytes())
+        rows.append((t if marks else None, marks or None, wanted if marks else (0, 0, None)))
+    text, marks, wanted = zip(*rows)
+    at, mask = ([[m[k] for m in x] if x else None for x in marks] for k in ("at", "mask"))
+    for part in (slice(0, None), slice(3, 200), slice(0, 0)):  # a slice's offsets do not begin at 0
+        own = [pa.array(c, k)[part] for c, k in ((text, pa.string()), (at, pa.list_(pa.list_(pa.int32()))), (mask, pa.list_(pa.int64())))]
+        assert [tuple(r.values()) for r in repeats._cut.func(*own).to_pylist()] == [*wanted[part]]
+
+
 # --- pipeline ----------------------------------------------------------------------------------------
 
 
